@@ -142,11 +142,22 @@ STAMPED = (
     "DH_ID",
 )
 
-MISSING = Rule("DSB_ID", "DSB_ID does not exist in Dispute Current", ~F.col("_has_current"))
-NOT_EMAIL = Rule(
-    "DSB_ID", "Dispute_Type is not Email for DSB_ID", F.col("cur_Dispute_Type") != "Email"
-)
-NO_PRIOR = Rule("DSB_ID", "DSB_ID has no prior version in Dispute History", ~F.col("_has_prior"))
+
+def missing() -> Rule:
+    return Rule("DSB_ID", "DSB_ID does not exist in Dispute Current", ~F.col("_has_current"))
+
+
+def not_email() -> Rule:
+    """A dispute without a type passes."""
+    wrong = F.col("cur_Dispute_Type") != "Email"
+    return Rule("DSB_ID", "Dispute_Type is not Email for DSB_ID", wrong)
+
+
+def no_prior() -> Rule:
+    return Rule(
+        "DSB_ID", "DSB_ID has no prior version in Dispute History", ~F.col("_has_prior")
+    )
+
 
 Values = Mapping[str, Callable[[], Column]]
 
@@ -191,7 +202,7 @@ SPECS: dict[str, TransitionSpec] = {
             "Escalate",
             "Filed",
             "Filed",
-            lambda as_of, cfg: [MISSING, known_employee()],
+            lambda as_of, cfg: [missing(), known_employee()],
             prior=False,
             carried=CARRIED_BY_ESCALATE,
             history={
@@ -210,7 +221,7 @@ SPECS: dict[str, TransitionSpec] = {
             "Close",
             "Denied - Closed",
             "GRT Close",
-            lambda as_of, cfg: [MISSING, known_employee(), NO_PRIOR],
+            lambda as_of, cfg: [missing(), known_employee(), no_prior()],
             closes=True,
             history={
                 "Norm_Close_Reason": _a("Action_Norm_Reason"),
@@ -228,9 +239,9 @@ SPECS: dict[str, TransitionSpec] = {
             lambda as_of, cfg: [
                 *amount_rules("Amount_Or_Days"),
                 *date_rules("Credit_Invoice_Date", as_of),
-                MISSING,
+                missing(),
                 known_employee(),
-                NO_PRIOR,
+                no_prior(),
             ],
             closes=True,
             carried=(*CARRIED, "Denied"),
@@ -249,7 +260,7 @@ SPECS: dict[str, TransitionSpec] = {
             "Denied",
             "Denied - Pending",
             "Denied - Pending",
-            lambda as_of, cfg: [MISSING, NOT_EMAIL, known_employee(), NO_PRIOR],
+            lambda as_of, cfg: [missing(), not_email(), known_employee(), no_prior()],
             history={
                 "ILEC_Confirmation": _a("ILEC_Confirmation"),
                 "ILEC_Comments": _a("Action_Reason"),
@@ -265,10 +276,10 @@ SPECS: dict[str, TransitionSpec] = {
             "Approved",
             lambda as_of, cfg: [
                 *amount_rules("Amount_Or_Days"),
-                MISSING,
-                NOT_EMAIL,
+                missing(),
+                not_email(),
                 known_employee(),
-                NO_PRIOR,
+                no_prior(),
             ],
             carried=(*CARRIED, "Denied"),
             history={
@@ -283,7 +294,7 @@ SPECS: dict[str, TransitionSpec] = {
             None,
             None,
             lambda as_of, cfg: [
-                MISSING,
+                missing(),
                 *amount_rules("Amount_Or_Days"),
                 max_value("Amount_Or_Days", cfg.note_day_limit),
                 known_employee(),
