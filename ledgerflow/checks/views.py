@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EVENT_NOW = "2024-01-31 12:00:00"
 ORDER_NOW = "2001-08-15 12:00:00"
 CATEGORY = "GRT CNR"
 
 
+@cache
+def _schema(path: str) -> T.StructType:
+    """Read once per file; the test tables do not change."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def text(c: Column | str) -> Column:
