@@ -565,8 +565,9 @@ def direct_actions(
     place = F.array_position(F.array(*[F.lit(a) for a in allowed]), F.col("Action"))
     rows = rows.withColumn("_place", place.cast("int"))
     places = clean(rows).groupBy("DSB_ID").agg(F.sort_array(F.collect_set("_place")).alias("_all"))
+    turn = F.array_position("_all", F.col("_place")).cast("int")
     turned = lookup(rows, places, ["DSB_ID"], {"_all": "_all"}).withColumn(
-        "_turn", F.coalesce(F.array_position("_all", F.col("_place")), F.lit(1)).cast("int")
+        "_turn", F.greatest(F.lit(1), turn)
     )
     rows = stable(turned.drop("_all", "_place"))
     turns = rows.agg(F.max("_turn")).first()[0] or 1
