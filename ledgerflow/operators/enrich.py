@@ -167,7 +167,7 @@ def cost_records(
         asked = named.filter(F.col("Cost_Type").isin(types))
         part = narrow(tables[table], asked, {"_seed": rule.key})
         if rule.compared:
-            compared = narrow(tables["mrc_cmp"], part, {"BDT_MRC_ID": "BDT_MRC_ID"})
+            compared = narrow(tables["mrc_cmp"], asked, {"_seed": "BDT_MRC_ID"})
             part = lookup(
                 part,
                 first_per(

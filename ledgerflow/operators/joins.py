@@ -32,10 +32,12 @@ def narrow(ref: DataFrame, df: DataFrame, keys: Keys) -> DataFrame:
     """The part of a large reference table that a batch can touch.
 
     A semi join keeps the table on the streamed side: a small batch is sent to
-    the scan, a large one shares its shuffle with the join that follows.
+    the scan, a large one shares its shuffle with the join that follows. The keys
+    are made distinct first, map-side, so a key that fills a third of the batch
+    travels once per task.
     """
     pairs = key_map(keys)
-    wanted = df.select(*[F.col(a).alias(f"_k_{b}") for a, b in pairs.items()])
+    wanted = df.select(*[F.col(a).alias(f"_k_{b}") for a, b in pairs.items()]).distinct()
     condition = [F.col(b) == F.col(f"_k_{b}") for b in pairs.values()]
     return ref.join(wanted, condition, "left_semi")
 
