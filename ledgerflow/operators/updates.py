@@ -12,6 +12,7 @@ from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import ERROR_COLUMNS
 from ledgerflow.operators.filters import clean, tag_is, tag_is_not
 from ledgerflow.operators.joins import Keys, key_map, lookup, narrow
+from ledgerflow.operators.keys import stable
 from ledgerflow.operators.relational import first_per
 
 UNMAPPED = "unmapped"
@@ -146,8 +147,11 @@ def stamp_worklist(
     comment: str | None = None,
     action: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(unmapped log, zero-revenue log, new worklist); the last submitted row wins."""
-    log = worklist_log(df, worklist, audit_result, as_of, comment, action)
+    """(unmapped log, zero-revenue log, new worklist); the last submitted row wins.
+
+    All three come from one written copy of the log, so the worklist is joined once.
+    """
+    log = stable(worklist_log(df, worklist, audit_result, as_of, comment, action))
     unmapped = log.filter(tag_is(UNMAPPED, "Tag")).drop("Invoice_Date", "Tag")
     zero_revenue = log.filter(tag_is_not(UNMAPPED, "Tag"))
     stamped = apply_updates(

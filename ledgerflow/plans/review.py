@@ -103,8 +103,11 @@ def review_rows(sub: DataFrame, tables: Tables, folder: str = "01_BMI-PCI") -> D
 
 
 def one_per_source(rows: DataFrame) -> DataFrame:
-    """A source is acted on once per file; later rows of the same source are errors."""
-    return flag_repeats(rows, SOURCE, "Line_ID", SOURCE_TEXT, REPEATED)
+    """A source is acted on once per file; later rows of the same source are errors.
+
+    The judged rows are used by several joins, so they are written once.
+    """
+    return stable(flag_repeats(rows, SOURCE, "Line_ID", SOURCE_TEXT, REPEATED))
 
 
 def open_disputes(rows: DataFrame, tables: Tables, statuses: Iterable[str] | None) -> DataFrame:
@@ -146,6 +149,7 @@ def _moved(rows: DataFrame, step: Transition, tables: Tables) -> JobResult:
         union_all(rows, failed.withColumn("Folder_Name", F.lit("01_BMI-PCI"))),
         {"dispute_history": step.history, "dispute_notes": step.notes},
         {"dispute_current": step.snapshot(tables["dispute_current"])},
+        {"dispute_current": step.changes},
     )
 
 
@@ -162,7 +166,7 @@ def _act_on_disputes(
     """Find the disputes of each row, flag rows that have none, and move the disputes."""
     rows = one_per_source(rows)
     disputes = open_disputes(rows, tables, statuses)
-    rows = stable(must_derive(rows, disputes, SOURCE, SOURCE_TEXT, message))
+    rows = must_derive(rows, disputes, SOURCE, SOURCE_TEXT, message)
     actions = (
         clean(rows)
         .drop("Full_Name", "Initials")
@@ -170,7 +174,7 @@ def _act_on_disputes(
         .withColumn("Action", F.lit(action))
     )
     work = {**tables, "dispute_current": disputes}
-    return rows, transition(actions, work, as_of, [action], config, starts)
+    return rows, transition(actions, work, as_of, [action], config, starts, distinct=True)
 
 
 def escalate_job(
@@ -316,7 +320,7 @@ def _queue_job(
     offered = disputes.select(
         *SOURCE, "DSB_ID", "Date_Submitted", F.col("Disputer").alias("Assign_Rep")
     )
-    rows = stable(assign_reps(rows, offered, SOURCE))
+    rows = assign_reps(rows, offered, SOURCE)
     actions = (
         as_action_rows(
             clean(rows).drop("Full_Name", "Initials"),
@@ -331,7 +335,8 @@ def _queue_job(
     )
     wide = replace(config, note_day_limit=max(config.note_day_limit, note_days))
     work = {**tables, "dispute_current": disputes}
-    return rows, transition(actions, work, as_of, ["Dispute Note"], wide, starts)
+    step = transition(actions, work, as_of, ["Dispute Note"], wide, starts, distinct=True)
+    return rows, step
 
 
 def work_items(tables: Tables, rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -478,13 +483,13 @@ def lv_job(
 
 def audit_job(sub: DataFrame, tables: Tables, as_of: AsOf) -> JobResult:
     """Send to Audit: the worklist gets the fixed comment."""
-    rows = stable(review_rows(sub, tables))
+    rows = review_rows(sub, tables)
     return _stamp(JobResult(rows), rows, tables, "Audit Review", as_of, None, "Send to Audit")
 
 
 def other_job(sub: DataFrame, tables: Tables, as_of: AsOf) -> JobResult:
     """Any other listed action: its own name is the audit result."""
-    rows = stable(review_rows(sub, tables))
+    rows = review_rows(sub, tables)
     return _stamp(JobResult(rows), rows, tables, F.col("Action"), as_of, "Action_Comment")
 
 
@@ -623,7 +628,6 @@ def dispute_job(
         "Source_TBL, Source_ID, Start_Date",
         "Valid cost was not found for the Source_TBL, Source_ID, Start_Date combo",
     )
-    rows = stable(rows)
     opened = review_seed_disputes(
         mined.drop("Full_Name", "Initials"), tables, as_of, cost_types, starts
     )

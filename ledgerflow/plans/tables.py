@@ -54,11 +54,16 @@ TABLE_NAMES = (
 
 @dataclass
 class JobResult:
-    """Every submitted row with its outcome, rows to append, and new table states."""
+    """Every submitted row with its outcome, rows to append, and new table states.
+
+    `changes` holds, for a changed table, only the changed rows with their new
+    values: for catalogs that can merge them instead of taking the whole state.
+    """
 
     results: DataFrame
     appends: dict[str, DataFrame] = field(default_factory=dict)
     snapshots: dict[str, DataFrame] = field(default_factory=dict)
+    changes: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def load_tables(spark: SparkSession, root: str, names: tuple[str, ...] = TABLE_NAMES) -> Tables:

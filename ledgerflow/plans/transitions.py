@@ -383,14 +383,7 @@ def judge(
         for action, spec in specs.items()
         for rule in spec.rules(as_of, config)
     ]
-    judged = validate(joined.withColumn("_now", as_moment(as_of)), rules)
-    return flag_repeats(
-        judged,
-        ["DSB_ID", "Action"],
-        "Line_ID",
-        "DSB_ID",
-        "DSB_ID was already given for this action",
-    )
+    return validate(joined.withColumn("_now", as_moment(as_of)), rules)
 
 
 def _present(df: DataFrame, wanted: Iterable[str]) -> list[Column]:
@@ -431,37 +424,50 @@ def transition(
     names: Iterable[str] = tuple(SPECS),
     config: JobConfig = JobConfig(),
     starts: Mapping[str, int] | None = None,
+    distinct: bool = False,
 ) -> Transition:
     """Apply actions to disputes; every DSB_ID has one action of each name at most.
 
     `actions` has Line_ID, Action and the action columns. All actions are judged
-    and written in one pass over the touched disputes. Where a dispute has several
-    actions in one batch use `direct_actions`, which orders them.
+    and written in one pass over the touched disputes, and one numbering pass
+    serves history and notes. `distinct` says that no action is given twice for a
+    dispute; otherwise later ones are flagged. Where a dispute has several actions
+    in one batch use `direct_actions`, which orders them.
     """
     specs = {name: SPECS[name] for name in names}
     judged = stable(judge(conform(actions, ACTION_COLUMNS), tables, specs, as_of, config))
-    status_names = [n for n, s in specs.items() if s.status is not None]
-    moving = clean(judged).filter(F.col("Action").isin(status_names))
-    noting = clean(judged).filter(F.col("Action").isin([n for n in specs if n not in status_names]))
+    if not distinct:
+        judged = flag_repeats(
+            judged,
+            ["DSB_ID", "Action"],
+            "Line_ID",
+            "DSB_ID",
+            "DSB_ID was already given for this action",
+        )
+    notes = [n for n, s in specs.items() if s.status is None]
+    is_note = F.col("Action").isin(notes) if notes else F.lit(False)
+    todo = clean(judged).filter(F.col("Action").isin(list(specs)))
+    order = ["_note", "Line_ID", "DSB_ID"]
+    ranked = assign_ids(todo.withColumn("_note", is_note), order, 0, "_rank")
     starts = dict(starts or {})
-    frames = []
-    if status_names:
-        first = starts.get("DH_ID") or next_id(tables["dispute_history"], "DH_ID")
-        frames.append(assign_ids(moving, ["Line_ID", "DSB_ID"], first, "DH_ID"))
-    if len(status_names) < len(specs):
-        first = starts.get("DN_ID") or next_id(tables["dispute_notes"], "DN_ID")
-        frames.append(assign_ids(noting, ["Line_ID", "DSB_ID"], first, "DN_ID"))
-    keyed = union_all(*frames)
-    for c in ("DH_ID", "DN_ID"):
-        if c not in keyed.columns:
-            keyed = keyed.withColumn(c, _null("bigint"))
+    moving = 0
+    if len(notes) < len(specs):
+        starts.setdefault("DH_ID", next_id(tables["dispute_history"], "DH_ID"))
+        moving = ranked.filter(~F.col("_note")).count() if notes else 0
+    if notes:
+        starts.setdefault("DN_ID", next_id(tables["dispute_notes"], "DN_ID"))
+    rank = F.col("_rank")
+    keyed = ranked.withColumns(
+        {
+            "DH_ID": F.when(~F.col("_note"), rank + starts.get("DH_ID", 0)),
+            "DN_ID": F.when(F.col("_note"), rank - moving + starts.get("DN_ID", 0)),
+        }
+    )
     label = source_label(batch_label(as_of))
-    moved = keyed.filter(F.col("DH_ID").isNotNull())
-    noted = keyed.filter(F.col("DN_ID").isNotNull())
     return Transition(
         judged,
-        _history_rows(moved, specs, label),
-        _note_rows(noted),
+        _history_rows(keyed.filter(~F.col("_note")), specs, label),
+        _note_rows(keyed.filter("_note")),
         _current_changes(keyed, specs, label),
     )
 
@@ -607,6 +613,7 @@ def direct_actions(
             "dispute_notes": union_all(*[t.notes for t in done]),
         },
         {"dispute_current": last.snapshot(tables["dispute_current"])},
+        {"dispute_current": last.changes},
     )
 
 
