@@ -5,6 +5,12 @@ statistics (static, then measured at run time) show to be small, and shuffles
 otherwise, where adaptive execution splits a partition swollen by a hot key.
 Reference sides are reduced to one row per key before they meet the facts, so
 a hot key on the fact side is never multiplied and can be split freely.
+
+Adaptive execution splits a join only if both sides come straight from a shuffle.
+A reference that was just aggregated by the join key would be joined in place, and
+a hot key on the other side would stay in one task. Such references are joined on
+the key and its hash (`own_shuffle`): the second key asks for a shuffle of the small
+side, and the large side can be split.
 """
 
 from __future__ import annotations
@@ -28,6 +34,18 @@ def key_map(keys: Keys) -> dict[str, str]:
     return dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
 
 
+def _key_hash(df: DataFrame, ref: DataFrame, pairs: Mapping[str, str]) -> tuple[Column, Column]:
+    """The hash of the join key on either side, over text where the types differ."""
+    have = {f.name.lower(): f.dataType for f in df.schema.fields}
+    want = {f.name.lower(): f.dataType for f in ref.schema.fields}
+    same = all(have.get(a.lower()) == want.get(b.lower()) for a, b in pairs.items())
+
+    def of(names: Iterable[str]) -> Column:
+        return F.xxhash64(*[F.col(n) if same else F.col(n).cast("string") for n in names])
+
+    return of(pairs), of(pairs.values())
+
+
 def narrow(ref: DataFrame, df: DataFrame, keys: Keys) -> DataFrame:
     """The part of a large reference table that a batch can touch.
 
@@ -38,8 +56,11 @@ def narrow(ref: DataFrame, df: DataFrame, keys: Keys) -> DataFrame:
     """
     pairs = key_map(keys)
     wanted = df.select(*[F.col(a).alias(f"_k_{b}") for a, b in pairs.items()]).distinct()
-    condition = [F.col(b) == F.col(f"_k_{b}") for b in pairs.values()]
-    return ref.join(wanted, condition, "left_semi")
+    mine = {b: f"_k_{b}" for b in pairs.values()}
+    ref_hash, key_hash = _key_hash(ref, wanted, mine)
+    wanted = wanted.withColumn("_h", key_hash)
+    condition = [F.col(b) == F.col(k) for b, k in mine.items()]
+    return ref.join(wanted, [*condition, ref_hash == F.col("_h")], "left_semi")
 
 
 def lookup(
@@ -48,8 +69,12 @@ def lookup(
     keys: Keys,
     columns: Mapping[str, str],
     marker: str | None = None,
+    own_shuffle: bool = False,
 ) -> DataFrame:
-    """Left join a reference with one row per key; columns are new name -> reference name."""
+    """Left join a reference with one row per key; columns are new name -> reference name.
+
+    Set `own_shuffle` where `ref` was grouped or ranked by the same keys.
+    """
     pairs = key_map(keys)
     right = ref.select(
         *[F.col(b).alias(f"_k_{b}") for b in pairs.values()],
@@ -57,7 +82,13 @@ def lookup(
         *([F.lit(True).alias(marker)] if marker else []),
     )
     condition = [F.col(a) == F.col(f"_k_{b}") for a, b in pairs.items()]
-    joined = df.join(right, condition, "left").drop(*[f"_k_{b}" for b in pairs.values()])
+    dropped = [f"_k_{b}" for b in pairs.values()]
+    if own_shuffle:
+        left_hash, right_hash = _key_hash(df, right, {a: f"_k_{b}" for a, b in pairs.items()})
+        right = right.withColumn("_h", right_hash)
+        condition.append(left_hash == F.col("_h"))
+        dropped.append("_h")
+    joined = df.join(right, condition, "left").drop(*dropped)
     return joined.withColumn(marker, F.coalesce(marker, F.lit(False))) if marker else joined
 
 
@@ -65,7 +96,7 @@ def mark_existing(df: DataFrame, ref: DataFrame, keys: Keys, marker: str) -> Dat
     """Add a boolean column: is the key present in the reference?"""
     pairs = key_map(keys)
     known = ref.select(*[F.col(b) for b in dict.fromkeys(pairs.values())]).distinct()
-    return lookup(df, known, pairs, {}, marker)
+    return lookup(df, known, pairs, {}, marker, own_shuffle=True)
 
 
 def with_employee(df: DataFrame, employee: DataFrame, marker: str = "_has_employee") -> DataFrame:
@@ -74,7 +105,7 @@ def with_employee(df: DataFrame, employee: DataFrame, marker: str = "_has_employ
         F.min_by(F.struct("Full_Name", "Initials"), F.struct("Full_Name", "Initials")).alias("_who")
     )
     return (
-        lookup(df, people, ["Comp_Serial"], {"_who": "_who"}, marker)
+        lookup(df, people, ["Comp_Serial"], {"_who": "_who"}, marker, own_shuffle=True)
         .withColumns({"Full_Name": F.col("_who.Full_Name"), "Initials": F.col("_who.Initials")})
         .drop("_who")
     )
@@ -128,7 +159,8 @@ def join_effective(
     """Left join the master period that covers the month of `at`."""
     calendar = account_calendar(master, as_of, master_key, start, end)
     dated = df.withColumn("_month", F.last_day(at))
-    return lookup(dated, calendar, {key: master_key, "_month": "Month_End"}, columns).drop("_month")
+    months = {key: master_key, "_month": "Month_End"}
+    return lookup(dated, calendar, months, columns, own_shuffle=True).drop("_month")
 
 
 def join_chain(df: DataFrame, steps: Iterable[tuple[DataFrame, Keys, Mapping[str, str]]]) -> DataFrame:

@@ -35,7 +35,9 @@ def apply_updates(
     set_cols = list(set_cols)
     if order is not None:
         changes = first_per(changes, pairs.values(), order)
-    joined = lookup(target, changes, pairs, {f"_new_{c}": c for c in set_cols}, "_hit")
+    joined = lookup(
+        target, changes, pairs, {f"_new_{c}": c for c in set_cols}, "_hit", order is not None
+    )
     hit = F.col("_hit") if where is None else F.col("_hit") & where
     have = {c.lower(): c for c in target.columns}
     values = {}
@@ -62,7 +64,9 @@ def default_start(
     window = limits.groupBy("BAN").agg(F.max("Dispute_Limit").alias("Dispute_Limit"))
     part = narrow(inventory.select(inventory_key, "BAN"), df, {"Source_No": inventory_key})
     found = lookup(df, part, {"Source_No": inventory_key}, {"_ban": "BAN"})
-    found = lookup(found, window, {"_ban": "BAN"}, {"_limit": "Dispute_Limit"})
+    found = lookup(
+        found, window, {"_ban": "BAN"}, {"_limit": "Dispute_Limit"}, own_shuffle=True
+    )
     today = as_moment(as_of).cast("date")
     start = F.coalesce(
         F.col("Start_Date"), F.date_add(today, F.lit(margin_days) - F.col("_limit").cast("int"))
@@ -170,7 +174,7 @@ def assign_reps(df: DataFrame, candidates: DataFrame, keys: Iterable[str]) -> Da
     keys = list(keys)
     order = [F.col("Assign_Rep").asc_nulls_first(), F.col("Date_Submitted").desc()]
     pick = first_per(candidates.select(*keys, "Assign_Rep", "Date_Submitted"), keys, order)
-    found = lookup(df, pick, keys, {"_rep": "Assign_Rep"})
+    found = lookup(df, pick, keys, {"_rep": "Assign_Rep"}, own_shuffle=True)
     return found.withColumn(
         "Assigned_To", F.when(F.col(ERROR_COLUMNS).isNull(), F.col("_rep"))
     ).drop("_rep")

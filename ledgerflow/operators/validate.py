@@ -163,7 +163,7 @@ def flag_repeats(
     """
     names = list(key_map(keys))
     first = clean(df).groupBy(*names).agg(F.min(row_key).alias("_min"))
-    marked = lookup(df, first, names, {"_first": "_min"})
+    marked = lookup(df, first, names, {"_first": "_min"}, own_shuffle=True)
     return validate(
         marked, [Rule(columns, message, F.col(row_key) != F.col("_first"))]
     ).drop("_first")
@@ -181,7 +181,7 @@ def propagate_error(df: DataFrame, keys: Keys, row_key: str | Column) -> DataFra
         .groupBy(*names)
         .agg(F.min_by(F.struct(ERROR_COLUMNS, ERROR_MESSAGE), row_key).alias("_e"))
     )
-    marked = lookup(df, failed, names, {"_sibling": "_e"})
+    marked = lookup(df, failed, names, {"_sibling": "_e"}, own_shuffle=True)
     own = F.col(ERROR_COLUMNS).isNotNull()
     return marked.withColumns(
         {

@@ -423,7 +423,7 @@ def with_attachment(rows: DataFrame, files: DataFrame) -> DataFrame:
     newest = latest_by(
         files.select(*SOURCE, "File_Name", "Modified"), SOURCE, ["Modified", "File_Name"]
     )
-    return lookup(rows, newest, SOURCE, {"CSR_File_Name": "File_Name"})
+    return lookup(rows, newest, SOURCE, {"CSR_File_Name": "File_Name"}, own_shuffle=True)
 
 
 def lv_job(

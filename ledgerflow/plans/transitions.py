@@ -572,7 +572,7 @@ def direct_actions(
     rows = rows.withColumn("_place", place.cast("int"))
     places = clean(rows).groupBy("DSB_ID").agg(F.sort_array(F.collect_set("_place")).alias("_all"))
     turn = F.array_position("_all", F.col("_place")).cast("int")
-    turned = lookup(rows, places, ["DSB_ID"], {"_all": "_all"}).withColumn(
+    turned = lookup(rows, places, ["DSB_ID"], {"_all": "_all"}, own_shuffle=True).withColumn(
         "_turn", F.greatest(F.lit(1), turn)
     )
     rows = stable(turned.drop("_all", "_place"))
