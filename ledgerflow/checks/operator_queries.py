@@ -547,8 +547,9 @@ FROM f JOIN (SELECT * FROM v_current WHERE source_tbl = 'BMI') c
 def pair_join(spark, sf):
     keys = ["source_tbl", "source_id"]
     first = first_per(v_sub(spark, sf).select("line_id", *keys), keys, [F.col("line_id").asc()])
-    right = v_current(spark, sf).filter(F.col("source_tbl") == "BMI").select(*keys, "dsb_id")
-    return first.join(right, keys).select("line_id", *keys, "dsb_id")
+    disputes = v_current(spark, sf).filter(F.col("source_tbl") == "BMI").select(*keys, "dsb_id")
+    found = lookup(disputes, first, keys, {"line_id": "line_id"}, own_shuffle=True)
+    return found.filter(F.col("line_id").isNotNull()).select("line_id", *keys, "dsb_id")
 
 
 def cost_tables(spark, sf):

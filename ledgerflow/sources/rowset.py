@@ -37,9 +37,18 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
-def read_rowset(spark: SparkSession, path: str | list[str], columns: Iterable[str]) -> DataFrame:
-    """Rows of the rowset files, every listed column as text, with provenance."""
-    reader = spark.read.format("xml").options(**OPTIONS).schema(text_schema(columns))
+def read_rowset(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Iterable[str],
+    row_tag: str = "z:row",
+) -> DataFrame:
+    """Rows of the rowset files, every listed column as text, with provenance.
+
+    A column may come as an attribute or as a child element of its row.
+    """
+    options = OPTIONS | {"rowTag": row_tag}
+    reader = spark.read.format("xml").options(**options).schema(text_schema(columns))
     return with_provenance(reader.load(path))
 
 

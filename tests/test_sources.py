@@ -148,6 +148,17 @@ def test_stream_drops_copies_within_the_delay_when_asked(spark, tmp_path):
     assert sorted(r[0] for r in got) == ["S1", "S2"]
 
 
+def test_child_elements_and_other_row_tags(spark, rows, tmp_path):
+    (tmp_path / "a.xml").write_text(
+        HEAD + '<z:item Action="Map"><BAN> 5 </BAN></z:item><z:item Comp_Serial="S1"/>' + TAIL
+    )
+    df = read_rowset(spark, f"{tmp_path}/a.xml", COLUMNS, row_tag="z:item")
+    assert [tuple(r) for r in df.select(*COLUMNS).orderBy("Action").collect()] == [
+        (None, "S1", None),
+        ("Map", None, "5"),
+    ]
+
+
 def test_truncated_row_does_not_hide_good_ones(spark, inbox):
     good = read_rowset(spark, f"{inbox}/02_Seeds", COLUMNS)
     assert good.filter(F.col("Comp_Serial").isNotNull()).count() == 2
