@@ -14,10 +14,15 @@ from ledgerflow.operators.filters import flag_unlisted, rejected, split_by
 from ledgerflow.operators.keys import stable
 from ledgerflow.operators.relational import collect_errors, union_all
 from ledgerflow.operators.validate import outcome_summary
-from ledgerflow.plans.dispute import nonseed_disputes, seed_disputes
+from ledgerflow.plans.dispute import (
+    NONSEED_COLUMNS,
+    SEED_COLUMNS,
+    nonseed_disputes,
+    seed_disputes,
+)
 from ledgerflow.plans.review import REVIEW_COLUMNS, REVIEW_JOBS, other_job
 from ledgerflow.plans.tables import JobResult, Tables
-from ledgerflow.plans.transitions import direct_actions
+from ledgerflow.plans.transitions import ACTION_COLUMNS, direct_actions
 
 CONFIGURED = {"Dispute Note", "Escalate Disputes", "Paid Disputes", "Close Disputes"} | {
     "Send to Prov",
@@ -70,19 +75,35 @@ def review_folder(
     return merge(done)
 
 
+FOLDER_COLUMNS: dict[str, tuple[str, ...]] = {
+    "01_BMI-PCI": REVIEW_COLUMNS,
+    "02_Seeds": SEED_COLUMNS,
+    "03_Non-Seeds": NONSEED_COLUMNS,
+    "04_Dispute-Actions": ACTION_COLUMNS,
+}
+
+
+def own_columns(df: DataFrame, folder: str) -> DataFrame:
+    """Without the columns that only other folders use; a stream reads all folders alike."""
+    mine = {c.lower() for c in FOLDER_COLUMNS[folder]}
+    known = {c.lower() for columns in FOLDER_COLUMNS.values() for c in columns}
+    return df.drop(*[c for c in df.columns if c.lower() in known - mine])
+
+
 def run_folder(
     folder: str, sub: DataFrame, tables: Tables, as_of: AsOf, config: JobConfig = JobConfig()
 ) -> JobResult:
     """The job of one inbox folder."""
+    if folder not in FOLDER_COLUMNS:
+        raise ValueError(f"no job for folder {folder}")
+    sub = own_columns(sub, folder)
     if folder == "01_BMI-PCI":
         return review_folder(sub, tables, as_of, config)
     if folder == "02_Seeds":
         return seed_disputes(sub, tables, as_of, config.cost_types)
     if folder == "03_Non-Seeds":
         return nonseed_disputes(sub, tables, as_of)
-    if folder == "04_Dispute-Actions":
-        return direct_actions(sub, tables, as_of, config)
-    raise ValueError(f"no job for folder {folder}")
+    return direct_actions(sub, tables, as_of, config)
 
 
 def error_return(results: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

@@ -10,9 +10,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow.config import FOLDER_RANK, JobConfig
 from ledgerflow.functions.dates import AsOf
+from ledgerflow.operators.conform import conform
+from ledgerflow.operators.relational import union_all
+from ledgerflow.operators.validate import Rule, validate
 from ledgerflow.plans.run import advance, error_return, run_folder
 from ledgerflow.plans.tables import Tables
-from ledgerflow.sources.rowset import OPTIONS, route, text_schema, with_line_id, with_provenance
+from ledgerflow.sources.rowset import (
+    OPTIONS,
+    PROVENANCE,
+    route,
+    text_schema,
+    with_line_id,
+    with_provenance,
+)
 from ledgerflow.sources.sinks import append_batch, write_error_files
 
 
@@ -44,14 +54,11 @@ def intake_stream(
         moment, delay = once_within
         rows = rows.withColumn("Arrived", F.col(moment).try_cast("timestamp"))
         rows = rows.withWatermark("Arrived", delay).dropDuplicatesWithinWatermark(
-            [c for c in rows.columns if c not in PASSING]
+            [c for c in rows.columns if c not in PROVENANCE]
         )
     return rows
 
 
-PASSING = ("File_Path", "Folder_Name", "Folder_Rank")
-
-
 def serve_batch(
     batch: DataFrame,
     batch_id: int,
@@ -63,7 +70,8 @@ def serve_batch(
     """Run the folders of one micro-batch in their fixed order and write the outcome.
 
     Appended rows and snapshots go to partitions named after the batch, which a
-    replay overwrites, so a crash between two writes repeats nothing.
+    replay overwrites, so a crash between two writes repeats nothing. Rows from a
+    folder without a job are returned as errors.
     """
     rows = with_line_id(batch)
     present = {r[0] for r in rows.select("Folder_Name").distinct().collect()}
@@ -80,11 +88,14 @@ def serve_batch(
         for name, frame in result.appends.items():
             appended.setdefault(name, []).append(frame)
         tables = advance(tables, result)
+    if present - set(FOLDER_RANK):
+        stray = rows.filter(F.col("Folder_Rank").isNull())
+        outcome["(unknown folder)"] = validate(
+            conform(stray, []),
+            [Rule("Folder_Name", "Folder_Name is not an inbox folder", F.lit(True))],
+        )
     for name, frames in appended.items():
-        whole = frames[0]
-        for frame in frames[1:]:
-            whole = whole.unionByName(frame, allowMissingColumns=True)
-        append_batch(whole, f"{out}/appends/{name}", batch_id)
+        append_batch(union_all(*frames), f"{out}/appends/{name}", batch_id)
     for name in snapshots:
         append_batch(tables[name], f"{out}/snapshots/{name}", batch_id)
     if outcome:

@@ -7,7 +7,7 @@ from ledgerflow.config import JobConfig
 from ledgerflow.plans.review import dispute_job, map_job
 from ledgerflow.plans.run import advance, review_folder, run_folder
 from ledgerflow.plans.transitions import SPECS, direct_actions, transition
-from ledgerflow.streaming.intake import serve_batch
+from ledgerflow.streaming.intake import intake_stream, serve_batch, start_intake
 
 NOW = "2024-01-31 12:00:00"
 DAY = dt.date(2024, 1, 1)
@@ -366,10 +366,43 @@ def test_batch_replay_is_idempotent(spark, tables, tmp_path):
         spark,
         [("04_Dispute-Actions", "Escalate", "1", "S1", "why"), ("04_Dispute-Actions", "Close", "66", "S1", None)],
         "Folder_Name string, Action string, DSB_ID string, Comp_Serial string, Action_Reason string",
-    )
+    ).withColumn("Folder_Rank", F.lit(4))
     for _ in range(2):
         serve_batch(batch, 3, lambda: tables, str(tmp_path), lambda: NOW)
     history = spark.read.parquet(f"{tmp_path}/appends/dispute_history")
     assert [(r["DH_ID"], r["batch_id"]) for r in history.collect()] == [(105, 3)]
     assert spark.read.parquet(f"{tmp_path}/snapshots/dispute_current").count() == 5
     assert len(list((tmp_path / "errors/batch_id=3").rglob("part-*"))) == 1
+
+
+def test_files_to_tables_through_the_stream(spark, tables, tmp_path):
+    def rowset(folder, name, records):
+        path = tmp_path / "in" / folder
+        path.mkdir(parents=True, exist_ok=True)
+        body = "".join("<z:row " + " ".join(f'{k}="{v}"' for k, v in r.items()) + "/>" for r in records)
+        (path / name).write_text(
+            '<xml xmlns:rs="urn:schemas-microsoft-com:rowset" xmlns:z="#RowsetSchema"><rs:data>'
+            + body
+            + "</rs:data></xml>"
+        )
+
+    rowset("02_Seeds", "s.xml", [{"Comp_Serial": "S1", "Cost_Type": "MRC", "Cost_Type_Seed": "900"}])
+    rowset("04_Dispute-Actions", "a.xml", [{"Comp_Serial": "S1", "Action": "Escalate", "DSB_ID": " 6 "}])
+    rowset("09_Other", "o.xml", [{"Comp_Serial": "S2", "Action": "Escalate", "DSB_ID": "1"}])
+    columns = ("Comp_Serial", "Action", "DSB_ID", "Action_Reason", "Cost_Type", "Cost_Type_Seed")
+    stream = intake_stream(spark, f"{tmp_path}/in", columns)
+    query = start_intake(
+        stream,
+        f"{tmp_path}/ckpt",
+        lambda b, i: serve_batch(b, i, lambda: tables, f"{tmp_path}/out", lambda: NOW),
+    )
+    assert query.awaitTermination(300)
+    out = tmp_path / "out"
+    # The seed opened dispute 6, and the action file, served after it, escalated that dispute.
+    current = state(spark.read.parquet(f"{out}/snapshots/dispute_current"))
+    assert current[6]["Display_Status"] == "Filed" and current[6]["#_Of_Escalations"] == 1
+    assert current.keys() == {1, 2, 3, 4, 5, 6}
+    history = spark.read.parquet(f"{out}/appends/dispute_history")
+    assert sorted((r["DSB_ID"], r["DH_ID"]) for r in history.collect()) == [(6, 105), (6, 106)]
+    errors = [p.read_text() for p in (out / "errors").rglob("part-*")]
+    assert len(errors) == 1 and "is not an inbox folder" in errors[0]
