@@ -63,8 +63,8 @@ PRIOR = "WHEN old_dh IS NULL THEN 'DSB_ID has no prior version in Dispute Histor
 
 views.SQL_VIEWS["v_act"] = (
     """
-SELECT s.*, e.full_name, c.dsb_id AS cur_id, c.dispute_type AS cur_type, c.dispute_amount AS cur_amount,
-       c.display_status AS cur_display, c.dh_id AS cur_dh, c.n_escalations AS cur_n,
+SELECT s.*, e.full_name, c.dsb_id AS cur_id, c.dispute_type AS cur_type,
+       c.dispute_category AS cur_category,
        h.dh_id AS old_dh, h.dispute_reason AS old_reason, h.escalate AS old_escalate,
        h.dispute_category AS old_category
 FROM v_num s LEFT JOIN v_emp e ON e.comp_serial = s.comp_serial
@@ -256,19 +256,15 @@ WITH j AS (SELECT *, CASE {_ERR_BY_ACTION} END AS err, CASE action {_NAME_BY_ACT
 SELECT (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY line_id) AS dh_id, dsb_id,
        CASE act WHEN 'Escalate' THEN 'Filed' WHEN 'Close' THEN 'Denied - Closed' WHEN 'Denied'
             THEN 'Denied - Pending' ELSE act END AS display_status,
-       CASE WHEN act = 'Escalate' THEN 'GRT CNR' ELSE old_category END AS dispute_category,
+       CASE WHEN act = 'Escalate' THEN cur_category ELSE old_category END AS dispute_category,
        CASE WHEN act = 'Escalate' THEN 'Y' ELSE old_escalate END AS escalate,
        CASE WHEN act = 'Escalate' THEN reason ELSE old_reason END AS dispute_reason,
        CASE WHEN act IN ('Approved', 'Paid') THEN CAST(amount AS DOUBLE) END AS credit_approved,
        CASE WHEN act = 'Close' THEN reason END AS close_reason,
        CASE WHEN act IN ('Approved', 'Denied') THEN 'I' || CAST(line_id AS VARCHAR) END AS ilec_confirmation,
        full_name AS rep, 'GRT Status: 20240126' AS source_file
-FROM (SELECT j.*, c.dispute_category AS cc FROM j LEFT JOIN v_current c ON c.dsb_id = j.dsb_id) j
-WHERE err IS NULL AND (act <> 'Escalate' OR cc = 'GRT CNR' OR TRUE)""".replace(
-        "CASE WHEN act = 'Escalate' THEN 'GRT CNR' ELSE old_category END",
-        "CASE WHEN act = 'Escalate' THEN cc ELSE old_category END",
-    ).replace(" AND (act <> 'Escalate' OR cc = 'GRT CNR' OR TRUE)", ""),
-    ("v_act", "v_current"),
+FROM j WHERE err IS NULL""",
+    ("v_act",),
 )
 def direct_actions_history(spark, sf):
     history = _direct(spark, sf).appends["dispute_history"]

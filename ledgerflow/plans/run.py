@@ -24,10 +24,15 @@ from ledgerflow.plans.review import REVIEW_COLUMNS, REVIEW_JOBS, other_job
 from ledgerflow.plans.tables import JobResult, Tables
 from ledgerflow.plans.transitions import ACTION_COLUMNS, direct_actions
 
-CONFIGURED = {"Dispute Note", "Escalate Disputes", "Paid Disputes", "Close Disputes"} | {
+# Actions whose jobs read the job settings.
+CONFIGURED = (
+    "Dispute Note",
+    "Escalate Disputes",
+    "Paid Disputes",
+    "Close Disputes",
     "Send to Prov",
     "Send to LV",
-}
+)
 
 
 def advance(tables: Tables, result: JobResult) -> dict[str, DataFrame]:
@@ -63,7 +68,8 @@ def review_folder(
     """
     listed = (*config.review_actions, *config.other_review_actions)
     rows = stable(flag_unlisted(conform(sub, REVIEW_COLUMNS), "Action", listed))
-    present = {r[0] for r in rows.select("Action").filter(F.col("Action").isin(list(listed))).distinct().collect()}
+    asked = rows.filter(F.col("Action").isin(list(listed))).select("Action").distinct()
+    present = {r[0] for r in asked.collect()}
     slices = split_by(rows, "Action", [a for a in listed if a in present])
     done = [JobResult(rejected(rows))]
     for action, part in slices.items():

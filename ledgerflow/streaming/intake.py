@@ -114,7 +114,3 @@ def start_intake(
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime="1 second").start()
-
-
-def folder_order() -> list[str]:
-    return sorted(FOLDER_RANK, key=FOLDER_RANK.get)
