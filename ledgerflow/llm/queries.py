@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.llm import pieces, quality, token_counts
 from ledgerflow.llm.common import table
 from ledgerflow.llm.url_filter import judge_urls
 
@@ -49,3 +50,27 @@ QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath)
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, action string")
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load()
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return pieces.decode(coded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, token_counts.read_ranks()).drop("text")
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge(docs, table(spark, sf_dir, "labels")).drop("text")
