@@ -29,10 +29,9 @@ from array import array
 from collections import deque
 from collections.abc import Iterator
 
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ledgerflow.llm.common import per_worker
@@ -41,7 +40,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 # Distinct chunks remembered by a worker; when full, it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 
 class Vocabulary:
@@ -248,10 +247,3 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str =
                 yield _with_column(batch, text, pa.array(out, pa.string()))
 
     return df.mapInArrow(run, _schema_with(df, text, T.StringType()))
-
-
-def load(spark: SparkSession, path: str = MODEL) -> Vocabulary:
-    """The vocabulary, read by the driver; a few hundred kB go to the tasks."""
-    return Vocabulary.load(path)
-
-

@@ -54,7 +54,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = pieces.load()
+    vocabulary = pieces.Vocabulary.load()
     coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
     return pieces.decode(coded, vocabulary).select(
         "doc_id",

@@ -30,7 +30,7 @@ from ledgerflow.llm.pieces import _schema_with, _with_column
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Distinct words remembered by a worker; when full, it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 
 def read_ranks(path: str = RANKS) -> list[bytes]:
