@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,3 +101,48 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+SIEVE_BITS = 23
+
+
+def sieve(ids: DataFrame) -> np.ndarray:
+    """A bitmap of the hashes of `doc_id`; 1 MB, whatever their number."""
+    bit = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << SIEVE_BITS))
+    got = (
+        ids.select(bit.alias("b")).groupBy(F.shiftright("b", 5).alias("at"))
+        .agg(F.expr("bit_or(shiftleft(1L, int(b % 32)))").alias("bits")).toArrow()
+    )
+    out = np.zeros(1 << SIEVE_BITS - 5, dtype=np.uint32)
+    out[got["at"].to_numpy()] = got["bits"].to_numpy().astype(np.uint32)
+    return out
+
+
+def sift(docs: DataFrame, bits: np.ndarray, held: bool = True) -> DataFrame:
+    """The rows whose doc_id may be in the bitmap (or those whose doc_id surely is not, nulls too).
+
+    Saves shuffling most texts where few documents are concerned; with ever more
+    ids it lets ever more pass, and what follows decides exactly.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    bit = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << SIEVE_BITS)).cast("int"), F.lit(-1))
+    bit = F.when(F.col("doc_id").isNull(), -1).otherwise(bit)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            b = batch.column(batch.num_columns - 1).to_numpy()
+            hit = (own[b >> 5] >> (b & 31).astype(np.uint32) & 1).astype(bool) & (b >= 0)
+            yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(hit if held else ~hit))
+
+    return docs.withColumn("_sieve_bit", bit).mapInArrow(run, docs.schema)
+
+
+def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id is not among `ids`; only rows that may be are shuffled."""
+    bits = sieve(ids)
+    gone = ids.select(F.col("doc_id").cast("long").alias("_gone")).distinct()
+    held = sift(docs, bits)
+    return sift(docs, bits, held=False).unionByName(
+        held.join(gone, held["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    )

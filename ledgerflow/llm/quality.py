@@ -1,7 +1,7 @@
 """Quality classifier: nearest-neighbour voting among labelled latent-semantic vectors.
 
 A text's terms are its byte trigrams, hashed into a fixed number of columns, and
-one pseudo-term for words that repeat the word before. Damped counts are weighted
+one pseudo-term for the share of words that repeat the word before. Damped counts are weighted
 by inverse document frequency and projected onto the leading singular directions
 of a bounded sample of labelled texts (truncated SVD). The sample's vectors are
 sent to every task; each block of documents is multiplied with all of them, which
@@ -43,6 +43,8 @@ class Settings:
 
 
 BLOCK = 256
+# Weight of the share of repeated words against the damped counts of trigrams.
+REPEATS = 30.0
 
 
 def terms(text: str | None, columns: int) -> np.ndarray | None:
@@ -54,8 +56,9 @@ def terms(text: str | None, columns: int) -> np.ndarray | None:
     code = (code ^ code >> np.uint32(15)) * np.uint32(0x2C1B3C6D) >> np.uint32(7)
     count = np.bincount(code % np.uint32(columns - 1) + 1, minlength=columns).astype(np.float32)
     found = text.split()
-    count[0] = sum(map(str.__eq__, found, found[1:]))
-    return np.log1p(count)
+    out = np.log1p(count)
+    out[0] = REPEATS * sum(map(str.__eq__, found, found[1:])) / len(found) if found else 0
+    return out
 
 
 def term_block(texts: list[str | None], columns: int) -> np.ndarray:
