@@ -51,6 +51,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub "
     "sup time tt u var wbr img br picture source".split()
 )
+# What neither ends a block nor closes one.
+FLOWING = INLINE | RAW
 SCOPE = frozenset("html body article section div main aside nav header footer table td th ul ol dl form fieldset blockquote figure details".split())
 MAIN = frozenset(("article", "main"))
 OUTER = frozenset("nav header footer aside form button select menu dialog head object audio video canvas datalist".split()) | RAW
@@ -91,7 +93,7 @@ class Page:
             if tag is None:
                 continue
             tag = tag.lower()
-            if tag not in INLINE:
+            if tag not in FLOWING:
                 block += 1
             if close:
                 self._close(stack, tag)
@@ -136,7 +138,7 @@ class Page:
     @staticmethod
     def _imply(stack: list[tuple], tag: str) -> None:
         """Close what a start tag closes: paragraphs by blocks, items by items."""
-        if tag in INLINE:
+        if tag in FLOWING:
             return
         same = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}.get(tag, ("p",))
         for i in range(len(stack) - 1, -1, -1):
@@ -218,7 +220,8 @@ def text_of(page: Page, main: frozenset[str], static: set[tuple[str, str]]) -> s
         main = frozenset(e[1] for stack, _, _ in page.runs for e in stack if e[3] and not e[2])
         if not main:
             main = frozenset(e[1] for stack, _, _ in page.runs for e in stack if e[0] == "body") or frozenset([""])
-    template_text = {text for _, text in static} if not any(_is_main(k) for k in main) else set()
+    # Where no element is known to be the main one, what the template says everywhere is left out.
+    template_text = {text for _, text in static} if all(k.rpartition("/")[2].partition(".")[0] in ("body", "") for k in main) else set()
     blocks: dict[int, list[str]] = {}
     for stack, block, text in page.runs:
         inside = next((i for i, e in enumerate(stack) if e[1] in main), 0 if "" in main else None)
@@ -229,11 +232,6 @@ def text_of(page: Page, main: frozenset[str], static: set[tuple[str, str]]) -> s
     return "\n".join(line for line in lines if line)
 
 
-def _is_main(key: str) -> bool:
-    name = key.rpartition("/")[2].split(".")
-    return name[0] in MAIN or "@main" in name
-
-
 def extract_group(sources: list[str | None]) -> list[str]:
     """Main texts of pages of one host."""
     made = {s: Page(s) for s in dict.fromkeys(sources) if s}

@@ -241,7 +241,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str =
                     if not one.is_valid:
                         out.append(None)
                         continue
-                    raw = one.values.to_numpy(zero_copy_only=False).tolist()
+                    raw = one.values.to_numpy().tolist() if not one.values.null_count else one.values.to_pylist()
                     joined = b"".join([of[i] for i in raw if i is not None and 0 <= i < size])
                     out.append(joined[joined[:1] == b" " :].decode(errors="replace"))
                 yield _with_column(batch, text, pa.array(out, pa.string()))

@@ -1,0 +1,495 @@
+"""The training-data operators against brute force, and their defined results at the edges."""
+
+import datetime as dt
+import gzip
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerflow.llm import (
+    common,
+    decontaminate,
+    main_text,
+    ngram_join,
+    passages,
+    pieces,
+    quality,
+    token_counts,
+    top_k,
+    url_filter,
+    warc,
+)
+
+DOCS = "doc_id bigint, text string, lang string"
+
+
+def words_of(text):
+    low = (text or "").translate(str.maketrans(common.UPPER, common.LOWER))
+    return passages.WORD.findall(low)
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        i = rng.randrange(len(w))
+        w[i : i + 1] = rng.choice([[], [prose(rng, 1)], [w[i], prose(rng, 1)]])
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(5)
+    base = [prose(rng, rng.randint(30, 200)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    rows += [(100 + i, edited(rng, base[i % 6], i % 5)) for i in range(40)]
+    rows += [(200 + i, base[3]) for i in range(20)]
+    rows += [(300, None), (301, ""), (302, " \t\n "), (303, "One"), (304, "one"), (305, "one two"), (306, "ONE  two ")]
+    return rows
+
+
+# Components
+
+
+def test_components_of_chains_stars_and_cycles(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(300, 301), (301, 302), (302, 300), (7, 7)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r["node"]: r["component"] for r in common.components(df).collect()}
+    assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(50))
+    assert {got[i] for i in (300, 301, 302)} == {300}
+    assert common.components(df.limit(0)).count() == 0
+
+
+def test_sieve_keeps_all_and_nulls_pass(spark):
+    docs = spark.createDataFrame([(i, "t") for i in range(50)] + [(None, "n")], "doc_id bigint, text string")
+    ids = spark.createDataFrame([(i,) for i in range(0, 50, 5)], "doc_id bigint")
+    left = {r["doc_id"] for r in common.drop_ids(docs, ids).collect()}
+    assert left == {i for i in range(50) if i % 5} | {None}
+
+
+# 4 URL filters
+
+
+def judged(url, rules, default="allow"):
+    host, path = "", ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.index(c) for c in "/?#" if c in rest] or [len(rest)])
+        host, tail = rest[:cut].translate(str.maketrans(common.UPPER, common.LOWER)), rest[cut:]
+        path = tail.split("?")[0].split("#")[0]
+    fits = [(len(h + p), len(h), h + p, a) for h, p, a in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=None)
+    return host, path, best[2] if best else None, best[3] if best else default
+
+
+def test_url_rules_match_brute_force(spark):
+    rng = random.Random(3)
+    rules = [
+        ("net", "/", "block"), ("example.net", "/en/", "allow"), ("a.net", "/x/y", "block"), ("org", "", "block"),
+        ("b.org", "/q", "allow"), ("b.org", "/q", "block"), ("example.com", "/de/", "block"), ("x.y.example.com", "/", "allow"),
+    ]
+    hosts = ["net", "a.NET", "example.net", "s.example.net", "xexample.net", "b.org", "c.b.org", "x.y.example.com", "w.x.y.example.com", "", "a..net"]
+    paths = ["", "/", "/en/", "/en/1", "/x/y", "/x/yz?u=/en/", "/q", "/de/#a", "?/en/", "#/", "/x\n/y"]
+    urls = [f"{rng.choice(['http', 'HTTPS', ''])}://{h}{p}" for h in hosts for p in paths] + [None, "", "net/", "a://b://net/"]
+    urls += ["http://" + ".".join(["l"] * 300) + ".net" + "/p" * 400, urls[0]]
+    df = spark.createDataFrame([(i, u, "old") for i, u in enumerate(urls)], "page_id bigint, url string, Verdict string")
+    frame = spark.createDataFrame([*rules, (None, "/", "block")], "host string, path string, action string")
+    got = {r["page_id"]: tuple(r)[2:] for r in url_filter.judge_urls(df, frame).collect()}
+    assert got == {i: judged(u, rules) for i, u in enumerate(urls)}
+    none = url_filter.judge_urls(df, frame.limit(0), default="block").collect()
+    assert len(none) == len(urls) and {r["verdict"] for r in none} == {"block"}
+    assert url_filter.judge_urls(df.limit(0), frame).count() == 0
+
+
+# 5 n-gram join
+
+
+def sets_of(text, size):
+    w = words_of(text)
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
+
+
+def brute_components(rows, size, percent):
+    sets = {i: sets_of(t, size) for i, t in rows}
+    least = {i: i for i in sets}
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = sorted((root(a), root(b)))
+                    least[y] = x
+    return {i: (len(s), root(i)) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (2, 50)])
+def test_ngram_components_match_brute_force(spark, corpus, size, percent):
+    df = spark.createDataFrame(corpus, "doc_id bigint, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link_components(df, size, percent).collect()}
+    assert got == brute_components(corpus, size, percent)
+
+
+def test_ngram_join_edges(spark, corpus):
+    df = spark.createDataFrame(corpus + [(None, corpus[0][1]), (9, corpus[3][1]), (100, corpus[100 % 12][1])], "doc_id bigint, text string")
+    rows = ngram_join.link_components(df).collect()
+    assert len(rows) == len(corpus) + 3
+    assert [r["component_id"] for r in rows if r["doc_id"] is None] == [None]
+    # doc 9 has two texts: its own and that of doc 3.
+    assert {r["component_id"] for r in rows if r["doc_id"] in (3, 9)} == {3}
+    assert ngram_join.link_components(df.limit(0)).count() == 0
+    extra = df.withColumns({"n_shingles": F.lit("x"), "component_id": F.lit("y"), "token": F.lit(1)})
+    kept = ngram_join.one_of_each(extra, 3, 90)
+    assert kept.columns == extra.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and None in ids
+    # doc 100 holds the text of doc 4 too, and is linked with doc 4 and with its own group.
+    want = {c for _, c in brute_components(corpus, 3, 90).values()} - {4, 9}
+    assert set(ids) - {None} == want
+
+
+# 1 passages
+
+
+def test_chain_beats_no_other_chain():
+    """The Fenwick tree finds the best predecessor that a scan of all anchors finds."""
+    rng = random.Random(8)
+    s = passages.Settings(max_gap=10**6)
+    for _ in range(60):
+        found = sorted({(x, x + 5, y, y + 5) for x, y in ((rng.randrange(200), rng.randrange(200)) for _ in range(25))})
+        score = []
+        for x0, x1, y0, _ in found:
+            gains = [score[j] - s.gap_cost * (x0 - a[1] + y0 - a[3]) for j, a in enumerate(found[: len(score)]) if a[1] <= x0 and a[3] <= y0]
+            score.append(x1 - x0 + max([0.0, *gains]))
+        best = passages.chains(found, s)[0]
+        own = sum(a[1] - a[0] for a in best) - sum(s.gap_cost * (b[0] - a[1] + b[2] - a[3]) for a, b in zip(best, best[1:]))
+        assert own == pytest.approx(max(score))
+
+
+def test_common_is_least_edit_alignment():
+    a, b = np.array([1, 2, 3, 4, 5]), np.array([1, 9, 3, 5])
+    assert passages.common(a, b) == 3
+    assert passages.common(a, a[:0]) == 0 and passages.common(a, a) == 5
+
+
+def planted(rng):
+    shared = prose(rng, 60)
+    fuzzy = edited(rng, shared, 2)
+    rows = [(i, f"{prose(rng, 80)} {shared if i % 2 else fuzzy} {prose(rng, 40)}") for i in range(10)]
+    rows += [(50 + i, prose(rng, 150)) for i in range(5)]
+    rows += [(90, "same " * 300), (91, "same " * 300), (92, None), (93, ""), (None, shared), (94, shared[: len(shared) // 3])]
+    return shared, rows
+
+
+def test_passages_are_found_and_clean_texts_left_alone(spark):
+    shared, rows = planted(random.Random(1))
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, a int")
+    got = passages.passages(df).collect()
+    touched = {r["doc_a"] for r in got} | {r["doc_b"] for r in got}
+    assert touched == set(range(10))
+    text = {i: words_of(t) for i, t in rows}
+    for r in got:
+        assert r["doc_a"] < r["doc_b"] and r["n_words"] >= 50 and r["identity"] >= 0.8
+        a, b = text[r["doc_a"]][r["a_start"] : r["a_end"]], text[r["doc_b"]][r["b_start"] : r["b_end"]]
+        if r["doc_a"] % 2 and r["doc_b"] % 2:
+            assert a == b and " ".join(a) in " ".join(text[r["doc_a"]])
+    assert passages.passages(df.limit(0)).count() == 0
+
+
+def test_passages_leave_their_later_holders(spark):
+    shared, rows = planted(random.Random(1))
+    df = spark.createDataFrame([(*r, len(r[1] or ""), "x") for r in rows], "doc_id bigint, text string, n_chars bigint, _spans string")
+    df = df.drop("_spans")
+    left = passages.remove_passages(df, passages.passages(df))
+    assert left.columns == df.columns
+    by = {r["doc_id"]: r for r in left.collect()}
+    assert set(by) == {i for i, _ in rows}
+    held = [i for i in range(10) if len(words_of(by[i]["text"])) > 150]
+    assert held and all(by[i]["n_chars"] == len(by[i]["text"]) for i in range(10))
+    assert len(held) <= 2 and by[50]["text"] == dict(rows)[50] and by[92]["text"] is None
+    again = passages.passages(left).where("n_words > 55").count()
+    assert again == 0
+
+
+def test_a_text_of_passages_only_goes(spark):
+    shared = prose(random.Random(2), 70)
+    df = spark.createDataFrame([(1, shared), (2, shared), (3, shared + " tail")], "doc_id bigint, text string")
+    left = {r["doc_id"]: r["text"] for r in passages.remove_passages(df, passages.passages(df)).collect()}
+    assert left == {1: shared, 3: "tail"}
+
+
+# 10 decontamination
+
+
+def test_items_are_found_in_documents(spark):
+    rng = random.Random(4)
+    items = [(i, prose(rng, rng.randint(30, 60))) for i in range(15)] + [(15, "alpha beta gamma"), (16, ""), (17, None), (3, "x y z q w e r t")]
+    docs = [(i, f"{prose(rng, 50)} {items[i][1].upper() if i % 2 else items[i][1]} {prose(rng, 30)}") for i in range(10)]
+    docs += [(20, items[10][1]), (21, "x alpha BETA gamma y"), (22, prose(rng, 90)), (23, None), (24, ""), (None, items[1][1])]
+    near = items[11][1].split()
+    near[1] = "changed"
+    docs += [(25, prose(rng, 20) + " " + " ".join(near)), (26, " ".join(items[12][1].split()[:12])), (20, items[10][1])]
+    d = spark.createDataFrame([(*r, "w") for r in docs], "doc_id bigint, text string, w string").repartition(3)
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.matches(d, b).collect()}
+    want = {(i, i) for i in range(10)} | {(20, 10), (21, 15), (25, 11)}
+    assert set(got) == want
+    text = {i: words_of(t) for i, t in docs}
+    for (doc, item), r in got.items():
+        one, two = text[doc][r["start"] : r["start"] + r["n_words"]], words_of(items[item][1])
+        k = min(5, len(two))
+        assert r["similarity"] == pytest.approx(weighted(one, two, k), abs=1e-6)
+    left = decontaminate.clean(d, b)
+    assert left.columns == d.columns and {r["doc_id"] for r in left.collect()} == {22, 23, 24, 26, None}
+    assert decontaminate.matches(d.limit(0), b).count() == 0 and decontaminate.matches(d, b.limit(0)).count() == 0
+
+
+def weighted(a, b, k):
+    from collections import Counter
+
+    x, y = (Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) for w in (a, b))
+    return sum((x & y).values()) / sum((x | y).values())
+
+
+def test_every_fingerprint_in_the_radius_shares_a_block(spark):
+    rng = random.Random(6)
+    flips = set(decontaminate._flips())
+    for _ in range(300):
+        a, d = rng.getrandbits(64), rng.randint(0, decontaminate.RADIUS)
+        b = a
+        for bit in rng.sample(range(64), d):
+            b ^= 1 << bit
+        assert any(((a >> 16 * k) ^ (b >> 16 * k)) & 0xFFFF in flips for k in range(4))
+
+
+# 2 and 3 pieces and tokens
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.Vocabulary.load()
+
+
+def viterbi(text, table, alone):
+    best = [(0.0, 0)] + [(-1e300, 0)] * len(text)
+    for end in range(1, len(text) + 1):
+        for start in range(max(0, end - 40), end):
+            own = table.get(text[start:end])
+            own = alone if own is None and end - start == 1 else own
+            if own is not None and best[start][0] + own > best[end][0]:
+                best[end] = (best[start][0] + own, start)
+    return best[-1][0]
+
+
+def test_encoding_has_the_best_score_and_decodes(vocabulary):
+    encoder = pieces.Encoder(vocabulary.pieces)
+    table = {p: s for p, s, k in vocabulary.pieces if k == "piece"}
+    rng = random.Random(1)
+    texts = [prose(rng, 12), "The  quick brown\n\tfox", "naïve Ωmega 漢字 🙂 x", "a" * 60, "   ", "\n"]
+    for text in texts:
+        ids = np.frombuffer(encoder.encode(text), np.int32).tolist()
+        marked = "▁" + text.replace(" ", "▁")
+        kinds = [vocabulary.pieces[i] for i in ids]
+        n_bytes = sum(k == "byte" for *_, k in kinds)
+        alone = sum(c not in table for c in marked)
+        assert (n_bytes > 0) == (alone > 0)
+        score = sum(s for _, s, k in kinds if k == "piece") + alone * encoder.alone
+        assert score == pytest.approx(viterbi(marked, table, encoder.alone))
+
+
+def test_pieces_round_trip_and_edges(spark, vocabulary):
+    texts = ["plain words here", "", None, " lead", "▁mark ▁", "a\r\nb\x00c", "🙂" * 50, "x" * 30000, "plain words here"]
+    df = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts)], "doc_id bigint, text string, IDS string")
+    coded = pieces.encode(df, vocabulary)
+    assert coded.columns == ["doc_id", "text", "ids"]
+    got = {r["doc_id"]: r for r in pieces.decode(coded, vocabulary).collect()}
+    assert {i: r["decoded"] for i, r in got.items()} == dict(enumerate(texts))
+    assert got[1]["ids"] == [] and got[2]["ids"] is None and got[0]["ids"] == got[8]["ids"]
+    odd = spark.createDataFrame([([5, None, -1, 99999999, 300],)], "ids array<int>")
+    assert pieces.decode(odd, vocabulary).first()["decoded"] is not None
+    assert pieces.encode(df.limit(0), vocabulary).count() == 0
+
+
+def greedy(word, vocabulary):
+    n = 0
+    while word:
+        for size in range(len(word), 0, -1):
+            if word[:size] in vocabulary:
+                word, n = word[size:], n + 1
+                break
+        else:
+            return 1
+    return n
+
+
+def test_counts_are_greedy_longest_match():
+    rng = random.Random(2)
+    for _ in range(40):
+        vocabulary = {bytes(rng.choice(b" abc") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 30))}
+        automaton = token_counts.Automaton(vocabulary)
+        for _ in range(60):
+            word = b" " + bytes(rng.choice(b"abcd") for _ in range(rng.randint(1, 12)))
+            assert automaton.count(word) == greedy(word, vocabulary), (word, vocabulary)
+
+
+def test_token_counts_of_rows(spark):
+    ranks = token_counts.read_ranks()
+    own = set(ranks)
+    texts = ["Some words, twice. Some words, twice.", None, "", "\t \n", "naïve 🙂", "y" * 20000]
+    df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id bigint, text string, N_WORDS int")
+    got = {r["doc_id"]: (r["n_tokens"], r["n_words"]) for r in token_counts.token_counts(df, ranks).collect()}
+    assert got == {i: (sum(greedy(b" " + w, own) for w in (t or "").encode().split()), len((t or "").encode().split())) for i, t in enumerate(texts)}
+
+
+# 8 quality
+
+
+def test_votes_are_exact_and_learn(spark):
+    rng = random.Random(3)
+    good = [(i, prose(rng, 60), 1) for i in range(80)]
+    bad = [(100 + i, ("BUY NOW!! " * 20) + prose(rng, 3).upper(), 0) for i in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in good + bad] + [(900, None), (901, ""), (902, "x"), (0, good[0][1])], "doc_id bigint, text string")
+    docs = docs.withColumns({"score": F.lit("s"), "predicted": F.lit("p")})
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in good + bad] + [(5, None, 0), (None, 1, 0), (3, 1, 0)], "doc_id bigint, quality int, toxic int")
+    got = quality.judge(docs, labels).collect()
+    assert len(got) == 164
+    by = {r["doc_id"]: r for r in got}
+    assert all(by[i]["predicted"] == q for i, _, q in good + bad)
+    assert by[900]["score"] == by[901]["score"] == by[902]["score"] == 0.0
+    import zlib
+
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    none = quality.judge(docs, labels.limit(0)).collect()
+    assert len(none) == 164 and {r["score"] for r in none} == {0.0}
+    assert quality.judge(docs.limit(0), labels).count() == 0
+
+
+def test_score_is_the_weighted_vote_of_the_nearest():
+    rng = np.random.default_rng(0)
+    s = quality.Settings(columns=64, rank=8, neighbours=5)
+    block = rng.random((40, 64)).astype(np.float32)
+    labels = rng.integers(0, 2, 40).astype(float)
+    model = quality.fit(block, labels, s)
+    x = rng.random((6, 64)).astype(np.float32)
+    got = model.score(x)
+    for row, one in zip(x, got):
+        v = model.project(row[None])[0]
+        cosine = np.array([float(v @ u) for u in model.vectors])
+        near = np.argsort(-cosine)[:5]
+        w = np.maximum(cosine[near], 0) ** s.sharpness
+        assert one == pytest.approx((w * labels[near]).sum() / w.sum(), abs=1e-5)
+
+
+# 7 top-k
+
+
+def test_digits_and_sums():
+    rng = np.random.default_rng(1)
+    for q in [0, 1, -1, 7, -13, 255, -256, 1023]:
+        d = top_k.digits(q)
+        assert sum(s << k for k, s in d) == q and all(b[0] - a[0] > 1 for a, b in zip(d, d[1:]))
+
+
+@pytest.mark.parametrize("rows", [16, 64, 1000])
+def test_top_k_matches_brute_force(spark, rows):
+    rng = np.random.default_rng(rows)
+    vectors = [(int(i), [float(x) for x in rng.normal(0, 0.3, 6)]) for i in range(-100, 150)]
+    vectors += [(500 + i, [0.5] * 6) for i in range(30)] + [(600, [0.0] * 6), (650, [1e3, -1e3, 0.0, 0.0, 0.0, 0.0]), (50, vectors[0][1])]
+    vectors += [(700, None), (750, [0.1, None, 0.0, 0.0, 0.0, 0.0]), (800, [float("nan")] + [0.0] * 5), (850, [float("inf")] + [0.0] * 5), (900, []), (None, [0.0] * 6)]
+    vectors += [(950, [0.1, 0.2]), (951, [0.3, -0.2])]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").withColumn("label", F.lit(1))
+    v = top_k.quantised(df)
+    got = sorted(tuple(r) for r in top_k.search(top_k.build_index(v, rows), v.where("vec_id % 50 = 0"), 5).collect())
+    ints = {}
+    for i, x in vectors:
+        if i is not None and x and all(e is not None and np.isfinite(e) for e in x):
+            q = [int(np.floor(256 * float(np.float32(e)))) for e in x]
+            ints[i] = min(ints.get(i, q), q)
+    want = []
+    for q in ints:
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(ints[q], x)), i) for i, x in ints.items() if i != q and len(x) == len(ints[q]))
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:5], 1)]
+    assert got == sorted(want)
+    empty = top_k.quantised(df.limit(0))
+    assert top_k.search(top_k.build_index(empty), empty, 5).count() == 0
+
+
+# 9 WARC
+
+
+def test_archives_hold_every_page_once(spark, tmp_path):
+    body = "<p>" + "é" * 120 + "</p>"
+    rows = [(3, "http://a/", body), (1, "http://b/\r\nX: y", body), (2, None, body), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "")]
+    rows += [(1, "http://b/", body), (None, "u", body), (8, "u", "x" * 300000), (9, "u", "a\r\n\r\nWARC/1.1\r\n" * 20)]
+    df = spark.createDataFrame([(*r, "e") for r in rows], "page_id bigint, url string, html string, member string").repartition(3)
+    index = warc.write_archives(df, str(tmp_path / "archives"))
+    got = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.read_records(index).collect()), key=repr)
+    want = []
+    for page, _, html in rows:
+        raw = (html or "").encode()
+        own = [p for p, _, h in rows if (h or "") == (html or "") and p is not None]
+        revisit = len(raw) >= 100 and page != min(own)
+        want.append((page, "revisit" if revisit else "response", min(own) if revisit else None, len(raw)))
+    assert got == sorted(want, key=repr)
+    by = {r["page_id"]: r["payload"] for r in warc.read_records(index.where("page_id = 9 or page_id = 6")).collect()}
+    assert by == {9: rows[-1][2].encode(), 6: b""}
+    # Every archive is a plain series of members that its index covers without a gap.
+    for file, offset, length in index.select("file", "offset", "length").collect():
+        with open(file, "rb") as f:
+            f.seek(offset)
+            assert gzip.decompress(f.read(length)).startswith(b"WARC/1.1\r\n")
+    assert warc.read_records(warc.write_archives(df.limit(0), str(tmp_path / "none"))).count() == 0
+
+
+def test_ranges_are_coalesced_in_order():
+    rows = [("a", 0, 10), ("a", 10, 10), ("a", 30 + warc.GAP_BYTES, 5), ("b", 0, 1), ("b", 1, warc.READ_BYTES), ("b", 1 + warc.READ_BYTES, 3)]
+    got = list(warc.ranges(rows))
+    assert [g[3] for g in got] == [[0, 1], [2], [3], [4], [5]] and got[0][:3] == ("a", 0, 20)
+
+
+# 6 main text
+
+PAGE = """<!DOCTYPE html><html><head><title>T {n}</title><style>p{{}}</style><script>var a="</p>";</script></head><body class="has-sidebar">
+<header><a href="/">Site</a></header><nav class=menu><ul><li><a href="/{n}">Menu {n}</a></ul></nav><div class="cookie-notice">We use cookies</div>
+<{main}><h1>Title &amp; {n}</h1><p>First {word}
+ line&nbsp;here <b>bold</b>text<br>next<p>Second<script>x("<p>no</p>")</script> paragraph {n} is long enough to be the text of the page.
+<form><input value=x><label>Search</label></form><aside>Aside {n}</aside><ul><li>one<li>two &lt;b&gt;</ul><div class="ad">Buy {n}</div>
+<section id="comments"><p>Reader {n} says</p></section></{main}><footer>&copy; Site {n}</footer></body></html>"""
+TEXT = "Title & {n}\nFirst {word} line here boldtext next\nSecond paragraph {n} is long enough to be the text of the page.\none\ntwo <b>"
+
+
+@pytest.mark.parametrize("main", ["article", "main", "div class=content", "div role=main"])
+@pytest.mark.parametrize("pages", [1, 2, 9])
+def test_main_text_without_what_stands_around_it(main, pages):
+    words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota"]
+    end = main.split()[0]
+    sources = [PAGE.replace("</{main}>", f"</{end}>").format(n=i, word=words[i], main=main) for i in range(pages)]
+    assert main_text.extract_group(sources) == [TEXT.format(n=i, word=words[i]) for i in range(pages)]
+
+
+def test_main_text_edges(spark):
+    page = PAGE.format(n=1, word="w", main="article")
+    rows = [(1, "http://h/", page), (2, "http://h/", None), (3, "http://h/", ""), (4, None, page), (5, "http://h/", page), (5, "http://h/", page)]
+    rows += [(6, "http://h/", "just text & more"), (7, "http://h/", "<article>" + "<p>word " * 20000), (8, "http://h/", "<a <b <"), (9, "http://h/", "<p>x</p></div></p><p title='a>b'>y")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({"Text": F.lit("old"), "_host2": F.lit(1)})
+    got = {r["page_id"]: r["text"] for r in main_text.extract(df).collect()}
+    assert main_text.extract(df).count() == len(rows)
+    want = TEXT.format(n=1, word="w")
+    assert got[1] == got[4] == got[5] == want and got[2] == got[3] == ""
+    assert got[6] == "just text & more" and got[7].count("\n") == 19999 and got[9] == "x\ny"
+    assert main_text.extract(df.limit(0)).count() == 0
+
+
+def test_date_is_fixed():
+    assert dt.datetime.fromisoformat(warc.DATE)
