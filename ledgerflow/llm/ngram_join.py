@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import components, drop_ids, sieve, sift, stable, word_hashes
 
 SKETCH_BITS = 18
-RANGES = 16
+RANGES = 64
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
 
@@ -123,7 +123,7 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 n.append(len(s))
                 sig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 tokens.append((s[rare] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                ranges.append(np.diff(np.searchsorted(s, np.arange(1, RANGES, dtype=np.uint64) << np.uint64(60)), prepend=0, append=len(s)))
+                ranges.append(np.diff(np.searchsorted(s, np.arange(1, RANGES, dtype=np.uint64) << np.uint64(64 - 6)), prepend=0, append=len(s)))
             ends = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int32)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -184,9 +184,8 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     postings = classes.select(F.posexplode("tokens").alias("i", "token"), F.col("doc_id").alias("id"), "n")
     pivots = (
         postings.groupBy("token").agg(F.min(F.struct("i", "id", "n")).alias("p"), F.count("*").alias("m"))
-        .where(F.col("m") > 1).select("token", F.col("p.i").alias("pi"), F.col("p.id").alias("pid"), F.col("p.n").alias("pn"))
+        .where(F.col("m") > 1).select("token", "m", F.col("p.i").alias("pi"), F.col("p.id").alias("pid"), F.col("p.n").alias("pn"))
     )
-    shared = stable(postings.join(pivots, "token"))
 
     def fits(n, i, m, j):
         """Length and positional filters of two classes of n and m shingles that share their i-th and j-th."""
@@ -195,6 +194,13 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
         return long_enough & behind
 
     c = F.col
+    # A shingle of two classes that do not fit makes no pair: most shingles that meet by chance go here.
+    shared = stable(
+        postings.join(pivots, "token")
+        .where((c("m") > 2) | (c("id") != c("pid")) & fits(c("n"), c("i"), c("pn"), c("pi")))
+    )
+    pair = [F.least("id", "pid").alias("a"), F.greatest("id", "pid").alias("b")]
+    twos = shared.where(c("m") == 2).select(*pair).distinct()
     first = (
         shared.where((c("id") != c("pid")) & fits(c("n"), c("i"), c("pn"), c("pi")))
         .groupBy("id").agg(F.min(F.struct((c("i") + c("pi")).alias("at"), "pid")).alias("p"))
@@ -203,7 +209,8 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     links = stable(verify(first, classes, docs, size, percent))
     found = components(links)
 
-    labelled = shared.join(found, shared["id"] == found["node"], "left").select(
+    more = shared.where(c("m") > 2)
+    labelled = more.join(found, more["id"] == found["node"], "left").select(
         "token", "i", "id", "n", F.coalesce("component", "id").alias("part")
     )
     mixed = labelled.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
@@ -212,9 +219,14 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     rest = (
         across.join(other, "token")
         .where((c("part") != c("part_")) & (c("id") < c("id_")) & fits(c("n"), c("i"), c("n_"), c("i_")))
-        .select(c("id").alias("a"), c("id_").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti")
+        .select(c("id").alias("a"), c("id_").alias("b"))
+    )
+    parts = {s: found.select(c("node").alias(s), c("component").alias(f"part_{s}")) for s in "ab"}
+    apart = (
+        twos.join(parts["a"], "a", "left").join(parts["b"], "b", "left")
+        .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
     )
+    rest = rest.union(apart).distinct().join(first, ["a", "b"], "left_anti")
     least = signed.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sig").agg(F.min("doc_id").alias("class"))
     # A document that repeats with other texts is in several classes; they are linked by it.
     of = signed.where(F.col("n") > 0).select("doc_id", "sig").join(least, "sig").select("doc_id", "class")
