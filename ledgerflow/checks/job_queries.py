@@ -249,6 +249,44 @@ def q_direct_actions(spark, sf):
     ).agg(F.count("*").alias("n_rows"))
 
 
+_PRIOR = "DSB_ID has no prior version in Dispute History"
+
+
+@check(
+    "direct_actions_snapshot",
+    f"""
+WITH j AS (SELECT *, CASE {_ERR_BY_ACTION} END AS err, CASE action {_NAME_BY_ACTION} END AS act,
+             line_id % 4 = 0 AND cur_id IS NOT NULL AND full_name IS NOT NULL AS raised FROM v_act),
+k AS (SELECT dsb_id, raised, act, CASE WHEN raised AND err = '{_PRIOR}' THEN NULL ELSE err END AS err FROM j)
+SELECT c.dsb_id,
+       CASE WHEN k.err IS NULL AND k.act IN ('Close', 'Paid') THEN 'Closed' ELSE c.status END AS status,
+       CASE WHEN k.dsb_id IS NULL THEN c.display_status
+            WHEN k.err IS NULL THEN CASE k.act WHEN 'Escalate' THEN 'Filed' WHEN 'Close' THEN 'Denied - Closed'
+                 WHEN 'Denied' THEN 'Denied - Pending' ELSE k.act END
+            WHEN k.raised THEN 'Filed' ELSE c.display_status END AS display_status
+FROM v_current c LEFT JOIN k ON k.dsb_id = c.dsb_id""",
+    ("v_act", "v_current"),
+)
+def direct_actions_snapshot(spark, sf):
+    """Every fourth dispute is escalated too, under another spelling of its number."""
+    tables = base_tables(spark, sf)
+    named = F.create_map(*[F.lit(x) for pair in EVENT_ACTIONS.items() for x in pair])
+    sub = actions(spark, sf).withColumn("Action", F.element_at(named, F.col("Action")))
+    again = sub.filter((F.col("Line_ID") % 4 == 0) & (F.col("Action") != "Escalate")).withColumns(
+        {
+            "Action": F.lit("Escalate"),
+            "DSB_ID": F.concat(F.lit("00"), "DSB_ID"),
+            "Line_ID": -F.col("Line_ID") - 1,
+        }
+    )
+    result = direct_actions(sub.unionByName(again), tables, EVENT_NOW, CONFIG)
+    return result.snapshots["dispute_current"].select(
+        F.col("DSB_ID").alias("dsb_id"),
+        F.col("Status").alias("status"),
+        F.col("Display_Status").alias("display_status"),
+    )
+
+
 @check(
     "direct_actions_history",
     f"""
@@ -300,7 +338,7 @@ WITH x AS (
          CASE WHEN e.line_id % 10 = 5 THEN n.source_id ELSE CAST(e.line_id AS VARCHAR) END AS seed,
          CASE WHEN e.cost_type = 'MRC' THEN CAST(substr(e.source_id, 1) AS BIGINT) END AS master_id
   FROM v_enriched e JOIN v_num n ON n.line_id = e.line_id JOIN v_emp p ON p.comp_serial = n.comp_serial
-  WHERE e.error_message IS NULL AND NOT n.bad_number AND NOT n.bad_sign)
+  WHERE e.error_message IS NULL AND e.cost_type <> 'NONE' AND NOT n.bad_number AND NOT n.bad_sign)
 SELECT (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY x.line_id) AS dsb_id,
        '20010810_' || left(x.record_type, 1) || x.seed AS claim, x.full_name, x.vendor,
        COALESCE(CASE WHEN x.platform = 'own' AND x.line_id % 2 = 0 THEN NULL ELSE x.platform END, bp.n_name)
@@ -431,6 +469,29 @@ def q_dispute_job(spark, sf):
     )
 
 
+@check(
+    "dispute_job_bad_dates",
+    f"""
+WITH {
+        MINED_JOB.replace(
+            "WHEN f.first <> r.line_id", "WHEN r.line_id % 5 = 0 THEN 'Start_Date is not a date' WHEN f.first <> r.line_id"
+        ).replace("WHERE full_name IS NOT NULL", "WHERE full_name IS NOT NULL AND line_id % 5 <> 0")
+    }
+SELECT r.line_id, COALESCE(r.err0, CASE WHEN k.source_id IS NULL THEN
+  'Valid cost was not found for the Source_TBL, Source_ID, Start_Date combo' END) AS error_message
+FROM r LEFT JOIN (SELECT DISTINCT source_tbl, source_id FROM m) k
+  ON k.source_tbl = r.source_tbl AND k.source_id = r.source_id""",
+    ("v_rev",),
+)
+def q_dispute_job_bad_dates(spark, sf):
+    """A start date that cannot be read is an error and is not filled in."""
+    tables = base_tables(spark, sf) | master_tables(spark, sf) | mining_tables(spark, sf)
+    sub = review_sub(spark, sf, "Dispute")
+    unread = F.when(F.col("Line_ID") % 5 == 0, "31.12.2023").otherwise(F.col("Start_Date"))
+    results = dispute_job(sub.withColumn("Start_Date", unread), tables, ORDER_NOW).results
+    return results.select(F.col("Line_ID").alias("line_id"), F.col("Error_Message").alias("error_message"))
+
+
 @check(
     "review_seed_disputes",
     f"""
@@ -490,10 +551,11 @@ r2 AS (
 m AS (
   SELECT r2.line_id, r2.full_name, d.dsb_id, d.old_dh
   FROM r2 JOIN d ON d.source_tbl = r2.source_tbl AND d.source_id = r2.source_id WHERE r2.err2 IS NULL)
-SELECT 'result' AS kind, line_id AS id, err2 AS v1, CAST(NULL AS VARCHAR) AS v2, CAST(NULL AS VARCHAR) AS v3
-FROM r2
-UNION ALL
-SELECT 'result', line_id, 'DSB_ID has no prior version in Dispute History', NULL, NULL FROM m WHERE {wrong}
+SELECT 'result' AS kind, r2.line_id AS id, COALESCE(err2, CASE WHEN t.n = 0 THEN
+         'DSB_ID has no prior version in Dispute History' END) AS v1,
+       CAST(NULL AS VARCHAR) AS v2, CAST(NULL AS VARCHAR) AS v3
+FROM r2 LEFT JOIN (SELECT line_id, SUM(CASE WHEN {wrong} THEN 0 ELSE 1 END) AS n FROM m GROUP BY line_id) t
+  ON t.line_id = r2.line_id
 UNION ALL
 SELECT 'history', dsb_id, '{status}', full_name, CAST((SELECT MAX(o_orderkey) FROM orders)
        + ROW_NUMBER() OVER (ORDER BY line_id, dsb_id) AS VARCHAR)
@@ -617,7 +679,7 @@ q0 AS (
   LEFT JOIN p ON p.source_tbl = r.source_tbl AND p.source_id = r.source_id),
 {
         _first_per_source(
-            f"WHEN no_mac THEN 'This Macnum does not exist in CS' WHEN waits THEN '{message}'"
+            f"WHEN no_mac THEN 'This Macnum is not a known customer' WHEN waits THEN '{message}'"
         ).replace("FROM v_rev", "FROM q0")
     },
 d AS (
@@ -823,9 +885,22 @@ def q_error_return(spark, sf):
     )
 
 
-@check("hash_claims")
+@check(
+    "hash_claims",
+    """
+WITH x AS (
+  SELECT n.source_id AS ban, p.full_name,
+         (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY n.line_id) AS dsb_id
+  FROM v_num n JOIN v_emp p ON p.comp_serial = n.comp_serial
+  WHERE NOT n.bad_date AND COALESCE(LAST_DAY(n.day) <= DATE '2024-02-29', TRUE)
+    AND NOT n.bad_number AND NOT n.bad_sign)
+SELECT dsb_id, '20240126_X' || CAST(CAST('0x' || substr(md5(CAST(dsb_id AS VARCHAR)), 1, 15) AS BIGINT) AS VARCHAR)
+         AS claim, full_name || '_' || ban AS owner
+FROM x""",
+    ("v_num", "v_emp"),
+)
 def hash_claims(spark, sf):
-    """Claim numbers of free-form disputes; the hash is Spark's own, so no SQL."""
+    """Claim numbers of free-form disputes, made from their new keys."""
     sub = v_sub(spark, sf).select(
         F.col("line_id").alias("Line_ID"),
         F.col("comp_serial").alias("Comp_Serial"),

@@ -349,6 +349,24 @@ def q_must_exist(spark, sf):
     )
 
 
+@check(
+    "must_exist_text_key",
+    """
+SELECT l.l_orderkey * 10 + l.l_linenumber AS id,
+       CASE WHEN s.s_suppkey IS NULL THEN 'not a supplier' END AS error_message
+FROM lineitem l LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey AND s.s_suppkey % 3 <> 0""",
+)
+def q_must_exist_text_key(spark, sf):
+    """Keys as padded text against a numeric key."""
+    sub = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.concat(F.lit("00"), text("l_suppkey")).alias("key"),
+    )
+    ref = table(spark, sf, "supplier").filter("s_suppkey % 3 <> 0").select(F.col("s_suppkey").alias("key"))
+    judged = must_exist(conform(sub, []), ref, ["key"], "key", "not a supplier")
+    return judged.select("id", F.col("Error_Message").alias("error_message"))
+
+
 @check(
     "must_exist_typed",
     """
@@ -438,7 +456,7 @@ SELECT s.line_id,
             THEN CAST(c.c_custkey AS VARCHAR) || ' - ' || n.n_name ELSE s.amount_txt END AS ticket,
        CASE WHEN s.bad_number OR s.bad_sign OR c.sid IS NULL THEN 'ticket' END AS error_columns,
        CASE WHEN s.bad_number THEN 'ticket is not numeric' WHEN s.bad_sign THEN 'ticket is <= 0'
-            WHEN c.sid IS NULL THEN 'ticket doesn''t exist in Cornerstone' END AS error_message
+            WHEN c.sid IS NULL THEN 'ticket is not a known ticket' END AS error_message
 FROM v_num s
 LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS sid
            FROM customer) c ON c.c_custkey = CAST(s.amount AS BIGINT)

@@ -65,8 +65,12 @@ def seed_claim_no(batch: Column, record_type: Column | str, seed: Column | str)
 
 
 def hash_claim_no(batch: Column, *row_key: Column | str) -> Column:
-    """`<batch>_X<number>` where the number is a stable hash of the row key."""
-    digits = F.conv(F.hex(F.xxhash64(*[_col(c) for c in row_key])), 16, 10)
+    """`<batch>_X<number>`; the number is the first 60 bits of the md5 of the row key's text.
+
+    Claims differ as long as keys do, so the key should be one that is never given
+    twice, such as a DSB_ID.
+    """
+    digits = F.conv(F.left(F.md5(name_key(*row_key)), F.lit(15)), 16, 10)
     return F.concat(batch, F.lit("_X"), digits)
 
 

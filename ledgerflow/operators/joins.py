@@ -25,42 +25,61 @@ from ledgerflow.functions.dates import AsOf
 
 Keys = Iterable[str] | Mapping[str, str]
 
-# Above this many month rows an account calendar is joined by shuffle only.
-CALENDAR_BROADCAST_ROWS = 500_000
-
-
 def key_map(keys: Keys) -> dict[str, str]:
     """Keys as left name -> right name."""
     return dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
 
 
-def _key_hash(df: DataFrame, ref: DataFrame, pairs: Mapping[str, str]) -> tuple[Column, Column]:
-    """The hash of the join key on either side, over text where the types differ."""
-    have = {f.name.lower(): f.dataType for f in df.schema.fields}
-    want = {f.name.lower(): f.dataType for f in ref.schema.fields}
-    same = all(have.get(a.lower()) == want.get(b.lower()) for a, b in pairs.items())
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
 
-    def of(names: Iterable[str]) -> Column:
-        return F.xxhash64(*[F.col(n) if same else F.col(n).cast("string") for n in names])
+def _common(left: str | None, right: str | None) -> str | None:
+    """The type in which keys of two types are compared; null: as they are."""
+    if left is None or right is None or left == right:
+        return None
+    if left in _INTEGRAL and right in _INTEGRAL:
+        return "bigint"
+    if "string" in (left, right):
+        other = right if left == "string" else left
+        return "bigint" if other in _INTEGRAL else other
+    return None
 
-    return of(pairs), of(pairs.values())
+
+def _aligned(
+    df: DataFrame, ref: DataFrame, pairs: Mapping[str, str]
+) -> tuple[list[Column], list[Column]]:
+    """The key columns of either side in one type each.
+
+    Files are all text, so a key is often text on one side and a number on the
+    other; the text is read as a number, and text that is none matches nothing.
+    Equality and hash use the same columns, so `007` is 7 for both.
+    """
+    have = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name.lower(): f.dataType.simpleString() for f in ref.schema.fields}
+    left, right = [], []
+    for a, b in pairs.items():
+        kind = _common(have.get(a.lower()), want.get(b.lower()))
+        left.append(F.col(a) if kind is None else F.col(a).try_cast(kind))
+        right.append(F.col(b) if kind is None else F.col(b).try_cast(kind))
+    return left, right
 
 
 def narrow(ref: DataFrame, df: DataFrame, keys: Keys) -> DataFrame:
     """The part of a large reference table that a batch can touch.
 
     A semi join keeps the table on the streamed side: a small batch is sent to
-    the scan, a large one shares its shuffle with the join that follows. The keys
-    are made distinct first, map-side, so a key that fills a third of the batch
-    travels once per task.
+    the scan, a large one is met by a shuffle of the table by key and hash, which
+    can be split where a key is hot. The keys are made distinct first, map-side, so
+    a key that fills a third of the batch travels once per task.
     """
     pairs = key_map(keys)
     wanted = df.select(*[F.col(a).alias(f"_k_{b}") for a, b in pairs.items()]).distinct()
-    mine = {b: f"_k_{b}" for b in pairs.values()}
-    ref_hash, key_hash = _key_hash(ref, wanted, mine)
-    wanted = wanted.withColumn("_h", key_hash)
-    condition = [F.col(b) == F.col(k) for b, k in mine.items()]
-    return ref.join(wanted, [*condition, ref_hash == F.col("_h")], "left_semi")
+    left, right = _aligned(ref, wanted, {b: f"_k_{b}" for b in pairs.values()})
+    wanted = wanted.withColumns(
+        {f"_q_{i}": c for i, c in enumerate(right)} | {"_h": F.xxhash64(*right)}
+    )
+    condition = [c == F.col(f"_q_{i}") for i, c in enumerate(left)]
+    return ref.join(wanted, [*condition, F.xxhash64(*left) == F.col("_h")], "left_semi")
 
 
 def lookup(
@@ -81,12 +100,12 @@ def lookup(
         *[F.col(source).alias(name) for name, source in columns.items()],
         *([F.lit(True).alias(marker)] if marker else []),
     )
-    condition = [F.col(a) == F.col(f"_k_{b}") for a, b in pairs.items()]
+    mine, theirs = _aligned(df, right, {a: f"_k_{b}" for a, b in pairs.items()})
+    condition = [a == b for a, b in zip(mine, theirs)]
     dropped = [f"_k_{b}" for b in pairs.values()]
     if own_shuffle:
-        left_hash, right_hash = _key_hash(df, right, {a: f"_k_{b}" for a, b in pairs.items()})
-        right = right.withColumn("_h", right_hash)
-        condition.append(left_hash == F.col("_h"))
+        right = right.withColumn("_h", F.xxhash64(*theirs))
+        condition.append(F.xxhash64(*mine) == F.col("_h"))
         dropped.append("_h")
     joined = df.join(right, condition, "left").drop(*dropped)
     return joined.withColumn(marker, F.coalesce(marker, F.lit(False))) if marker else joined
@@ -95,7 +114,11 @@ def lookup(
 def mark_existing(df: DataFrame, ref: DataFrame, keys: Keys, marker: str) -> DataFrame:
     """Add a boolean column: is the key present in the reference?"""
     pairs = key_map(keys)
-    known = ref.select(*[F.col(b) for b in dict.fromkeys(pairs.values())]).distinct()
+    _, theirs = _aligned(df, ref, pairs)
+    names = list(dict.fromkeys(pairs.values()))
+    as_compared = dict(zip(pairs.values(), theirs))
+    # Distinct as compared: `7` and `007` are one key where the other side has numbers.
+    known = ref.select(*[as_compared[b].alias(b) for b in names]).distinct()
     return lookup(df, known, pairs, {}, marker, own_shuffle=True)
 
 
@@ -112,37 +135,33 @@ def with_employee(df: DataFrame, employee: DataFrame, marker: str = "_has_employ
 
 
 def account_calendar(
+    wanted: DataFrame,
     master: DataFrame,
     as_of: AsOf,
     key: str = "BAN",
     start: str = "Start_Date",
     end: str = "End_Date",
 ) -> DataFrame:
-    """An effective-dated master as one row per account and month end.
+    """The master period of each wanted account and month, one row each.
 
-    The grain of the effective dates is the month, so this turns the interval
-    join into an equality join on (account, month): no residual predicate, no
-    fan-out where periods overlap (the latest start wins), and the months of one
-    hot account land in different partitions. `Periods` tells how many periods
-    covered the month.
+    `wanted` has the account under the master's name and Month_End. The grain of
+    the effective dates is the month. Only accounts and months that a batch names
+    are met with the master, whose periods of one account are few; of overlapping
+    periods the latest start wins, and `Periods` tells how many there were.
     """
     first = F.last_day(start)
     last = F.last_day(F.coalesce(F.col(end).cast("date"), as_moment(as_of).cast("date")))
-    span = F.months_between(last, first).cast("int")
-    payload = [c for c in master.columns if c not in (key,)]
-    months = (
-        master.filter(F.col(key).isNotNull() & (first <= last))
-        .withColumn("_m", F.explode(F.sequence(F.lit(0), span)))
-        .withColumn("Month_End", F.last_day(F.add_months(first, F.col("_m"))))
-    )
+    payload = [c for c in master.columns if c != key]
+    asked = wanted.select(F.col(key).alias("_account"), "Month_End").distinct()
     order = F.struct(start, *[c for c in payload if c != start])
-    calendar = (
-        months.groupBy(key, "Month_End")
+    covered = master.join(
+        asked, [F.col(key) == F.col("_account"), F.col("Month_End").between(first, last)]
+    )
+    return (
+        covered.groupBy("_account", "Month_End")
         .agg(F.max_by(F.struct(*payload), order).alias("_p"), F.count("*").alias("Periods"))
-        .select(key, "Month_End", "Periods", "_p.*")
+        .select(F.col("_account").alias(key), "Month_End", "Periods", "_p.*")
     )
-    size = master.agg(F.sum(F.when(first <= last, span + 1))).first()[0] or 0
-    return calendar if size <= CALENDAR_BROADCAST_ROWS else calendar.hint("merge")
 
 
 def join_effective(
@@ -156,9 +175,13 @@ def join_effective(
     start: str = "Start_Date",
     end: str = "End_Date",
 ) -> DataFrame:
-    """Left join the master period that covers the month of `at`."""
-    calendar = account_calendar(master, as_of, master_key, start, end)
+    """Left join the master period that covers the month of `at`.
+
+    `columns` may ask for `Periods`, which is over 1 where periods overlap.
+    """
     dated = df.withColumn("_month", F.last_day(at))
+    wanted = dated.select(F.col(key).alias(master_key), F.col("_month").alias("Month_End"))
+    calendar = account_calendar(wanted, master, as_of, master_key, start, end)
     months = {key: master_key, "_month": "Month_End"}
     return lookup(dated, calendar, months, columns, own_shuffle=True).drop("_month")
 
@@ -179,5 +202,6 @@ def conditional_lookup(
         *[F.col(b).alias(f"_k_{b}") for b in pairs.values()],
         *[F.col(source).alias(name) for name, source in columns.items()],
     )
-    condition = [guard, *[F.col(a) == F.col(f"_k_{b}") for a, b in pairs.items()]]
+    mine, theirs = _aligned(df, right, {a: f"_k_{b}" for a, b in pairs.items()})
+    condition = [guard, *[a == b for a, b in zip(mine, theirs)]]
     return df.join(right, condition, "left").drop(*[f"_k_{b}" for b in pairs.values()])

@@ -28,15 +28,17 @@ def apply_updates(
 ) -> DataFrame:
     """The target with the set columns replaced on matching rows; null replaces too.
 
-    `changes` has one row per key, or `order` says which of several wins. Columns
-    of the change that the target lacks are added. `where` limits the target rows.
+    Of several changes with one key the first in `order` wins; without an order, the
+    greatest values, so that a repeated key never multiplies the target. Columns of
+    the change that the target lacks are added. `where` limits the target rows.
     """
     pairs = key_map(keys)
     set_cols = list(set_cols)
-    if order is not None:
-        changes = first_per(changes, pairs.values(), order)
+    if order is None:
+        order = [F.col(c).desc_nulls_last() for c in set_cols]
+    changes = first_per(changes, pairs.values(), order)
     joined = lookup(
-        target, changes, pairs, {f"_new_{c}": c for c in set_cols}, "_hit", order is not None
+        target, changes, pairs, {f"_new_{c}": c for c in set_cols}, "_hit", own_shuffle=True
     )
     hit = F.col("_hit") if where is None else F.col("_hit") & where
     have = {c.lower(): c for c in target.columns}

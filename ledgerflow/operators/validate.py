@@ -25,7 +25,7 @@ from ledgerflow.operators.joins import Keys, key_map, lookup, mark_existing
 class Rule:
     """`failed` true means the row gets this error; null counts as passed."""
 
-    columns: str
+    columns: str | Column
     message: str | Column
     failed: Column
 
@@ -41,7 +41,7 @@ def validate(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
         F.when(
             r.failed,
             F.struct(
-                F.lit(r.columns).alias("c"),
+                (r.columns if isinstance(r.columns, Column) else F.lit(r.columns)).alias("c"),
                 (r.message if isinstance(r.message, Column) else F.lit(r.message)).alias("m"),
             ),
         )
@@ -213,7 +213,7 @@ def ticket_status(
     )
     usable = F.col(ERROR_COLUMNS).isNull() & F.col("_status_id").isNotNull()
     text = F.concat_ws("", F.col("_ticket").cast("string"), F.lit(" - "), F.col("_status"))
-    rule = Rule(column, f"{column} doesn't exist in Cornerstone", F.col("_status_id").isNull())
+    rule = Rule(column, f"{column} is not a known ticket", F.col("_status_id").isNull())
     return (
         validate(named.withColumn("_usable", usable), [rule])
         .withColumn(column, F.when(F.col("_usable"), text).otherwise(F.col(column)))

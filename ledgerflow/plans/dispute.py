@@ -20,7 +20,7 @@ from ledgerflow.functions import (
 from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import conform, default_where, initial_status, trim_all, with_source
 from ledgerflow.operators.enrich import enrich_by_cost_type
-from ledgerflow.operators.filters import clean
+from ledgerflow.operators.filters import clean, flag_unlisted
 from ledgerflow.operators.joins import join_chain, join_effective, with_employee
 from ledgerflow.operators.keys import assign_ids, next_id, stable
 from ledgerflow.operators.validate import (
@@ -162,7 +162,6 @@ def append_dispute(
     )
     settled = named.withColumns(
         {
-            "Claim_No": claim,
             "Vendor": F.coalesce("Vendor", "BM_Vendor"),
             "Platform": F.coalesce("Platform", "BM_Platform"),
             "Amount": to_money("Dispute_Amt"),
@@ -172,7 +171,8 @@ def append_dispute(
             "Moment": now,
         }
     )
-    keyed = assign_ids(settled, list(order), dict(starts))
+    # The claim may be made from the new keys.
+    keyed = assign_ids(settled, list(order), dict(starts)).withColumn("Claim_No", claim)
 
     def pick(**columns: str | Column) -> DataFrame:
         return keyed.select(
@@ -300,6 +300,7 @@ def seed_disputes(
 ) -> JobResult:
     """New disputes from a seed file."""
     rows = with_source(trim_all(conform(sub, SEED_COLUMNS)), folder)
+    rows = flag_unlisted(rows, "Cost_Type", cost_types)
     rules = [
         *amount_rules("Dispute_Amt"),
         *amount_rules("Approved_Amt"),
@@ -358,9 +359,12 @@ def nonseed_disputes(
     as_of: AsOf,
     folder: str = "03_Non-Seeds",
     starts: Mapping[str, int] | None = None,
-    row_key: tuple[str, ...] = ("Line_ID",),
 ) -> JobResult:
-    """New disputes that name their own account and amount."""
+    """New disputes that name their own account and amount.
+
+    The claim is made from DSB_ID, which no other batch has: line numbers start
+    anew with every file.
+    """
     rows = with_source(trim_all(conform(sub, NONSEED_COLUMNS)), folder)
     rules = [
         *bill_date_rules("Bill_Date", as_of),
@@ -388,7 +392,7 @@ def nonseed_disputes(
         clean(results).withColumns(unset),
         tables,
         as_of,
-        hash_claim_no(batch_label(as_of), *row_key),
+        hash_claim_no(batch_label(as_of), "DSB_ID"),
         submitted=F.col("Moment").cast("date").cast("timestamp_ntz"),
         starts=starts,
     )

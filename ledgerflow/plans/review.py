@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from ledgerflow.config import COST_TYPES, REVIEW_CATEGORY, JobConfig
 from ledgerflow.functions import as_moment, month_end, same_day, to_day
 from ledgerflow.functions.dates import AsOf
-from ledgerflow.operators.conform import as_action_rows, conform, trim_all, with_source
+from ledgerflow.operators.conform import (
+    ERROR_COLUMNS,
+    ERROR_MESSAGE,
+    as_action_rows,
+    conform,
+    trim_all,
+    with_source,
+)
 from ledgerflow.operators.filters import clean, eligible, flag_unlisted, pending, rejected
 from ledgerflow.operators.joins import conditional_lookup, lookup, narrow
 from ledgerflow.operators.keys import stable
@@ -24,9 +31,11 @@ from ledgerflow.operators.updates import (
     stamp_worklist,
 )
 from ledgerflow.operators.validate import (
+    Rule,
     amount_rules,
     date_rules,
     flag_repeats,
+    is_date,
     max_value,
     must_derive,
     must_exist,
@@ -37,7 +46,7 @@ from ledgerflow.operators.validate import (
 )
 from ledgerflow.plans.dispute import check_employee, review_seed_disputes
 from ledgerflow.plans.tables import JobResult, Tables
-from ledgerflow.plans.transitions import Transition, submitted, transition
+from ledgerflow.plans.transitions import Transition, transition
 
 # The columns a review file is padded to.
 REVIEW_COLUMNS = (
@@ -143,10 +152,25 @@ def _stamp(
     return result
 
 
+def settle(rows: DataFrame, step: Transition) -> DataFrame:
+    """The rows with one outcome each: a row of which no dispute moved is an error.
+
+    It gets the error of its failed dispute of the lowest DSB_ID. A row of which some
+    disputes moved counts as done; what failed is in the transition's results.
+    """
+    failed = F.col(ERROR_COLUMNS).isNotNull()
+    why = F.struct(F.col(ERROR_COLUMNS).alias("c"), F.col(ERROR_MESSAGE).alias("m"))
+    fates = step.results.groupBy("Line_ID").agg(
+        F.count_if(~failed).alias("_moved"), F.min_by(F.when(failed, why), F.when(failed, F.col("DSB_ID"))).alias("_why")
+    )
+    judged = lookup(rows, fates, ["Line_ID"], {"_n": "_moved", "_why": "_why"}, own_shuffle=True)
+    lost = (F.col("_n") == 0) & F.col("_why").isNotNull()
+    return validate(judged, [Rule(F.col("_why.c"), F.col("_why.m"), lost)]).drop("_n", "_why")
+
+
 def _moved(rows: DataFrame, step: Transition, tables: Tables) -> JobResult:
-    failed = submitted(rejected(step.results))
     return JobResult(
-        union_all(rows, failed.withColumn("Folder_Name", F.lit("01_BMI-PCI"))),
+        rows,
         {"dispute_history": step.history, "dispute_notes": step.notes},
         {"dispute_current": step.snapshot(tables["dispute_current"])},
         {"dispute_current": step.changes},
@@ -174,7 +198,8 @@ def _act_on_disputes(
         .withColumn("Action", F.lit(action))
     )
     work = {**tables, "dispute_current": disputes}
-    return rows, transition(actions, work, as_of, [action], config, starts, distinct=True)
+    step = transition(actions, work, as_of, [action], config, starts, distinct=True)
+    return stable(settle(rows, step)), step
 
 
 def escalate_job(
@@ -310,7 +335,7 @@ def _queue_job(
     """Common part of the outbound queues: checks, note on open disputes, rep pick."""
     rows = review_rows(sub, tables)
     rows = must_exist(
-        rows, tables["cust_file"], ["Macnum"], "Macnum", "This Macnum does not exist in CS"
+        rows, tables["cust_file"], ["Macnum"], "Macnum", "This Macnum is not a known customer"
     )
     rows = must_not_exist(
         rows, tables[queue].filter(waiting), SOURCE, SOURCE_TEXT, pending_message
@@ -336,7 +361,7 @@ def _queue_job(
     wide = replace(config, note_day_limit=max(config.note_day_limit, note_days))
     work = {**tables, "dispute_current": disputes}
     step = transition(actions, work, as_of, ["Dispute Note"], wide, starts, distinct=True)
-    return rows, step
+    return stable(settle(rows, step)), step
 
 
 def work_items(tables: Tables, rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -617,7 +642,8 @@ def dispute_job(
 ) -> JobResult:
     """Dispute a source: mine its charges after the start date and open a dispute for each."""
     rows = flag_unlisted(review_rows(sub, tables), "Source_TBL", ("BMI", "PCI"))
-    rows = one_per_source(rows)
+    # A date that cannot be read is an error; only a missing one is filled in.
+    rows = one_per_source(validate(rows, [is_date("Start_Date")]))
     other = rows.filter(~F.coalesce(F.col("Source_TBL").isin("BMI", "PCI"), F.lit(False)))
     dated = start_dates(rows, tables, as_of)
     mined = stable(mine_cost(clean(dated), tables))

@@ -569,13 +569,15 @@ def direct_actions(
     allowed = list(config.dispute_actions)
     rows = flag_unlisted(with_source(rows, folder), "Action", allowed)
     place = F.array_position(F.array(*[F.lit(a) for a in allowed]), F.col("Action"))
-    rows = rows.withColumn("_place", place.cast("int"))
-    places = clean(rows).groupBy("DSB_ID").agg(F.sort_array(F.collect_set("_place")).alias("_all"))
+    # Turns go by the number, as `7` and `07` are one dispute.
+    number = F.col("DSB_ID").cast("string").try_cast("bigint")
+    rows = rows.withColumns({"_place": place.cast("int"), "_dsb": number})
+    places = clean(rows).groupBy("_dsb").agg(F.sort_array(F.collect_set("_place")).alias("_all"))
     turn = F.array_position("_all", F.col("_place")).cast("int")
-    turned = lookup(rows, places, ["DSB_ID"], {"_all": "_all"}, own_shuffle=True).withColumn(
+    turned = lookup(rows, places, ["_dsb"], {"_all": "_all"}, own_shuffle=True).withColumn(
         "_turn", F.greatest(F.lit(1), turn)
     )
-    rows = stable(turned.drop("_all", "_place"))
+    rows = stable(turned.drop("_all", "_place", "_dsb"))
     turns = rows.agg(F.max("_turn")).first()[0] or 1
 
     starts = dict(starts or {})

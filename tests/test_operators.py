@@ -201,7 +201,7 @@ def test_ticket_status(spark):
     status = frame(spark, [(1, "Closed")], "Ticket_Status_ID int, Status string")
     got = ticket_status(validate(df, amount_rules("Ticket")), core, status)
     text = {r[0]: r[1] for r in got.select("id", "Ticket").collect()}
-    missing = "Ticket doesn't exist in Cornerstone"
+    missing = "Ticket is not a known ticket"
     assert messages(got) == {1: None, 2: missing, 3: missing, 4: "Ticket is not numeric", 5: missing}
     assert text == {1: "10 - Closed", 2: "11", 3: "12", 4: "x", 5: None}
 
@@ -234,6 +234,27 @@ def test_joins(spark, rows):
     assert prefixed(left, "p_").columns == ["p_id", "p_k"]
 
 
+def test_text_keys_meet_number_keys(spark, rows):
+    left = frame(spark, [(1, "007"), (2, "7"), (3, "x7"), (4, None), (5, "8")], "id int, k string")
+    ref = frame(spark, [(7,), (9,)], "k bigint")
+    want = [(1, True), (2, True), (3, False), (4, False), (5, False)]
+    assert rows(mark_existing(left, ref, ["k"], "m"), "id", "m") == want
+    for own in (False, True):
+        found = lookup(left, ref.withColumn("v", F.lit("v")), ["k"], {"v": "v"}, "m", own_shuffle=own)
+        assert rows(found, "id", "m") == want
+    assert rows(narrow(ref, left, ["k"]), "k") == [(7,)]
+    assert rows(narrow(left, ref, ["k"]), "id") == [(1,), (2,)]
+    # The other way round, two spellings of one key do not multiply a row.
+    numbers, texts = frame(spark, [(7,), (9,)], "k bigint"), frame(spark, [("07",), ("7",)], "k string")
+    assert rows(mark_existing(numbers, texts, ["k"], "m"), "k", "m") == [(7, True), (9, False)]
+
+
+def test_repeated_changes_do_not_multiply_the_target(spark, rows):
+    target = frame(spark, [(1, "a"), (2, "b")], "k int, v string")
+    changes = frame(spark, [(1, "x"), (1, "y")], "k int, v string")
+    assert rows(apply_updates(target, changes, ["k"], ["v"]), "k", "v") == [(1, "y"), (2, "b")]
+
+
 def test_effective_join_matches_brute_force(spark):
     rng = random.Random(11)
     day = lambda: dt.date(2020, 1, 1) + dt.timedelta(days=rng.randrange(1500))
@@ -256,7 +277,11 @@ def test_effective_join_matches_brute_force(spark):
         ]
         assert got[i] == (max(hits)[1] if hits else None)
     assert len(got) == 400
-    assert account_calendar(m, as_of).groupBy("BAN", "Month_End").count().filter("count > 1").isEmpty()
+    calendar = account_calendar(f.select("BAN", F.last_day("at").alias("Month_End")), m, as_of)
+    assert calendar.groupBy("BAN", "Month_End").count().filter("count > 1").isEmpty()
+    overlaps = {(r["BAN"], r["Month_End"]): r["Periods"] for r in calendar.collect()}
+    for (ban, end), n in overlaps.items():
+        assert n == sum(b == ban and month(s) <= month(end) <= month(e or as_of) for b, _, s, e in master)
 
 
 def test_relational(spark, rows):

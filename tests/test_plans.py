@@ -267,7 +267,7 @@ def test_review_folder(spark, tables):
         6: "This Source_TBL and Source_ID is already pending in Send to Prov table",
         7: None,
         8: None,
-        9: "This Macnum does not exist in CS",
+        9: "This Macnum is not a known customer",
         10: None,
         11: "Nope is not a listed Action",
     }
