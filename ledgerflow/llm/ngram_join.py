@@ -83,6 +83,13 @@ def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
         yield flat[a:b]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that what is made of each stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def hashed(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_hashes(F.col(f"`{text}`")).alias("words"))
 
@@ -93,7 +100,7 @@ def frequencies(docs: DataFrame, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         mask = np.uint64((1 << SKETCH_BITS) - 1)
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(w, size) & mask for w in _lists(batch.column(1))]
             if sets:
                 count += np.bincount(np.concatenate(sets).astype(np.int64), minlength=len(count))
@@ -114,7 +121,7 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = order.value
-        for batch in batches:
+        for batch in slices(batches):
             n, sig, tokens, ranges = [], [], [], []
             for words in _lists(batch.column(1)):
                 s = shingle_set(words, size)
@@ -140,7 +147,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [shingle_set(w, size).tobytes() for w in _lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["doc_id", "set"])
 
