@@ -49,6 +49,8 @@ class JobConfig:
     note_day_limit: int = 30
     prov_note_days: int = 14
     lv_note_days: int = 14
+    # Folder of the files that line verification takes along; none are looked up without it.
+    attachment_folder: str | None = None
 
 
 def session(app_name: str = "ledgerflow", master: str | None = None, **conf: str) -> SparkSession:

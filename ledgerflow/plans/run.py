@@ -11,6 +11,7 @@ from ledgerflow.config import JobConfig
 from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import conform
 from ledgerflow.operators.filters import flag_unlisted, rejected, split_by
+from ledgerflow.operators.joins import narrow
 from ledgerflow.operators.keys import stable
 from ledgerflow.operators.relational import collect_errors, union_all
 from ledgerflow.operators.validate import outcome_summary
@@ -21,8 +22,10 @@ from ledgerflow.plans.dispute import (
     seed_disputes,
 )
 from ledgerflow.plans.review import REVIEW_COLUMNS, REVIEW_JOBS, other_job
+from ledgerflow.plans.state import CHANGED_BY
 from ledgerflow.plans.tables import JobResult, Tables
 from ledgerflow.plans.transitions import ACTION_COLUMNS, direct_actions
+from ledgerflow.sources.attachments import scan_attachments
 
 # Actions whose jobs read the job settings.
 CONFIGURED = (
@@ -46,18 +49,28 @@ def advance(tables: Tables, result: JobResult) -> dict[str, DataFrame]:
 def merge(results: list[JobResult]) -> JobResult:
     """One result of several jobs run one after the other."""
     appends: dict[str, list[DataFrame]] = {}
+    changes: dict[str, list[DataFrame]] = {}
     snapshots: dict[str, DataFrame] = {}
     for r in results:
         snapshots |= r.snapshots
         for name, rows in r.appends.items():
             appends.setdefault(name, []).append(rows)
+        for name, rows in r.changes.items():
+            changes.setdefault(name, []).append(rows)
     return JobResult(
         union_all(*[r.results for r in results]),
         {name: union_all(*parts) for name, parts in appends.items()},
         snapshots,
+        {name: parts[0] if len(parts) == 1 else _keys_of(name, parts, snapshots) for name, parts in changes.items()},
     )
 
 
+def _keys_of(name: str, parts: list[DataFrame], snapshots: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows, in their last state, of all keys that several jobs changed."""
+    keys = list(CHANGED_BY[name].values())
+    return narrow(snapshots[name], union_all(*[p.select(*keys) for p in parts]), keys)
+
+
 def review_folder(
     sub: DataFrame, tables: Tables, as_of: AsOf, config: JobConfig = JobConfig()
 ) -> JobResult:
@@ -75,6 +88,10 @@ def review_folder(
     for action, part in slices.items():
         job = REVIEW_JOBS.get(action, other_job)
         extra = {"config": config} if action in CONFIGURED else {}
+        if action == "Dispute":
+            extra["cost_types"] = config.cost_types
+        if action == "Send to LV" and config.attachment_folder:
+            extra["files"] = scan_attachments(sub.sparkSession, config.attachment_folder)
         result = job(part, tables, as_of, **extra)
         done.append(result)
         tables = advance(tables, result)

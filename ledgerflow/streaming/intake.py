@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerflow.config import FOLDER_RANK, JobConfig
 from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import conform
-from ledgerflow.operators.relational import union_all
 from ledgerflow.operators.validate import Rule, validate
 from ledgerflow.plans.run import advance, error_return, run_folder
+from ledgerflow.plans.state import changed_rows, commit
 from ledgerflow.plans.tables import Tables
 from ledgerflow.sources.rowset import (
     OPTIONS,
@@ -23,7 +23,7 @@ from ledgerflow.sources.rowset import (
     with_line_id,
     with_provenance,
 )
-from ledgerflow.sources.sinks import append_batch, write_error_files
+from ledgerflow.sources.sinks import write_error_files
 
 
 def intake_stream(
@@ -62,29 +62,32 @@ def intake_stream(
 def serve_batch(
     batch: DataFrame,
     batch_id: int,
-    load: Callable[[], Tables],
+    load: Callable[[int], Tables],
     out: str,
     now: Callable[[], AsOf],
     config: JobConfig = JobConfig(),
 ) -> None:
     """Run the folders of one micro-batch in their fixed order and write the outcome.
 
-    Appended rows and snapshots go to partitions named after the batch, which a
-    replay overwrites, so a crash between two writes repeats nothing. Rows from a
-    folder without a job are returned as errors.
+    `load` gets the batch id and gives the tables as the batches before left them,
+    such as `lambda n: load_state(spark, out, n)`. What the batch appended and the
+    rows it changed go to partitions named after it, which a replay overwrites, so a
+    replay starts from the same state and repeats nothing. Rows from a folder without
+    a job are returned as errors.
     """
     rows = with_line_id(batch)
     present = {r[0] for r in rows.select("Folder_Name").distinct().collect()}
-    tables, outcome = dict(load()), {}
+    tables, outcome = dict(load(batch_id)), {}
     as_of = now()
     appended: dict[str, list[DataFrame]] = {}
-    snapshots: dict[str, DataFrame] = {}
+    changed: dict[str, list[DataFrame]] = {}
     for folder, part in route(rows).items():
         if folder not in present:
             continue
         result = run_folder(folder, part.drop("Folder_Name"), tables, as_of, config)
         outcome[folder] = result.results
-        snapshots |= result.snapshots
+        for name, frame in changed_rows(result).items():
+            changed.setdefault(name, []).append(frame)
         for name, frame in result.appends.items():
             appended.setdefault(name, []).append(frame)
         tables = advance(tables, result)
@@ -94,10 +97,7 @@ def serve_batch(
             conform(stray, []),
             [Rule("Folder_Name", "Folder_Name is not an inbox folder", F.lit(True))],
         )
-    for name, frames in appended.items():
-        append_batch(union_all(*frames), f"{out}/appends/{name}", batch_id)
-    for name in snapshots:
-        append_batch(tables[name], f"{out}/snapshots/{name}", batch_id)
+    commit({"appends": appended, "changes": changed}, out, batch_id)
     if outcome:
         errors, _ = error_return(outcome)
         write_error_files(errors, f"{out}/errors/batch_id={batch_id}", mode="overwrite")

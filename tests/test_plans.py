@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerflow.config import JobConfig
 from ledgerflow.plans.review import dispute_job, map_job
 from ledgerflow.plans.run import advance, review_folder, run_folder
+from ledgerflow.plans.state import compact, load_state, save_base
 from ledgerflow.plans.transitions import SPECS, direct_actions, transition
 from ledgerflow.streaming.intake import intake_stream, serve_batch, start_intake
 
@@ -237,7 +238,8 @@ def test_same_transition_on_disjoint_keys_commutes(spark, tables):
     assert run(one, two) == run(two, one)
 
 
-def test_review_folder(spark, tables):
+def test_review_folder(spark, tables, tmp_path):
+    (tmp_path / "PCI_13_scan.pdf").write_text("x")
     sub = frame(
         spark,
         [
@@ -255,7 +257,7 @@ def test_review_folder(spark, tables):
         ],
         "Line_ID long, Action string, Source_TBL string, Source_ID string, Comp_Serial string, Macnum string, Action_Reason string",
     )
-    config = JobConfig(other_review_actions=("Phone Call",))
+    config = JobConfig(other_review_actions=("Phone Call",), attachment_folder=str(tmp_path))
     result = review_folder(sub, tables, NOW, config)
     got = errors(result)
     assert got == {
@@ -275,6 +277,7 @@ def test_review_folder(spark, tables):
     assert [(r["Source_ID"], r["Assigned_To"], r["Issue"]) for r in prov] == [("11", "Ann", "issue")]
     lv = result.appends["queue_lv"].collect()
     assert [(r["Source_TBL"], r["Source_ID"], r["Vendor"]) for r in lv] == [("PCI", "13", None)]
+    assert [r["CSR_File_Name"] for r in lv] == ["PCI_13_scan.pdf"]
     # Both disputes of source 11 were escalated, and then closed: one was no longer pending but Email.
     after = state(result.snapshots["dispute_current"])
     assert after[1]["#_Of_Escalations"] == 1 and after[2]["#_Of_Escalations"] == 3
@@ -367,11 +370,15 @@ def test_batch_replay_is_idempotent(spark, tables, tmp_path):
         [("04_Dispute-Actions", "Escalate", "1", "S1", "why"), ("04_Dispute-Actions", "Close", "66", "S1", None)],
         "Folder_Name string, Action string, DSB_ID string, Comp_Serial string, Action_Reason string",
     ).withColumn("Folder_Rank", F.lit(4))
+    save_base(tables, str(tmp_path))
     for _ in range(2):
-        serve_batch(batch, 3, lambda: tables, str(tmp_path), lambda: NOW)
+        serve_batch(batch, 3, lambda n: load_state(spark, str(tmp_path), n), str(tmp_path), lambda: NOW)
     history = spark.read.parquet(f"{tmp_path}/appends/dispute_history")
     assert [(r["DH_ID"], r["batch_id"]) for r in history.collect()] == [(105, 3)]
-    assert spark.read.parquet(f"{tmp_path}/snapshots/dispute_current").count() == 5
+    # Only the dispute that moved is written, and a replay raises its counter once.
+    assert [r["DSB_ID"] for r in spark.read.parquet(f"{tmp_path}/changes/dispute_current").collect()] == [1]
+    now = state(load_state(spark, str(tmp_path), 4, ["dispute_current"])["dispute_current"])
+    assert len(now) == 5 and now[1]["#_Of_Escalations"] == 1
     assert len(list((tmp_path / "errors/batch_id=3").rglob("part-*"))) == 1
 
 
@@ -394,15 +401,56 @@ def test_files_to_tables_through_the_stream(spark, tables, tmp_path):
     query = start_intake(
         stream,
         f"{tmp_path}/ckpt",
-        lambda b, i: serve_batch(b, i, lambda: tables, f"{tmp_path}/out", lambda: NOW),
+        lambda b, i: serve_batch(b, i, lambda n: tables, f"{tmp_path}/out", lambda: NOW),
     )
     assert query.awaitTermination(300)
     out = tmp_path / "out"
     # The seed opened dispute 6, and the action file, served after it, escalated that dispute.
-    current = state(spark.read.parquet(f"{out}/snapshots/dispute_current"))
+    current = state(spark.read.parquet(f"{out}/changes/dispute_current"))
     assert current[6]["Display_Status"] == "Filed" and current[6]["#_Of_Escalations"] == 1
-    assert current.keys() == {1, 2, 3, 4, 5, 6}
+    assert current.keys() == {6}
     history = spark.read.parquet(f"{out}/appends/dispute_history")
     assert sorted((r["DSB_ID"], r["DH_ID"]) for r in history.collect()) == [(6, 105), (6, 106)]
     errors = [p.read_text() for p in (out / "errors").rglob("part-*")]
     assert len(errors) == 1 and "is not an inbox folder" in errors[0]
+
+
+def test_second_batch_sees_the_first(spark, tables, tmp_path):
+    """Ids go on, changes add up, and a new base gives the same state."""
+    root = str(tmp_path)
+    save_base(tables, root)
+    shape = "Folder_Name string, Action string, DSB_ID string, Comp_Serial string, Action_Reason string"
+    for batch_id, number in enumerate(("1", "01")):
+        batch = frame(spark, [("04_Dispute-Actions", "Escalate", number, "S1", "why")], shape).withColumn("Folder_Rank", F.lit(4))
+        serve_batch(batch, batch_id, lambda n: load_state(spark, root, n), root, lambda: NOW)
+    history = spark.read.parquet(f"{root}/appends/dispute_history")
+    assert sorted((r["DH_ID"], r["batch_id"]) for r in history.collect()) == [(105, 0), (106, 1)]
+    after = state(load_state(spark, root, 2, ["dispute_current"])["dispute_current"])
+    assert after[1]["#_Of_Escalations"] == 2 and after[1]["DH_ID"] == 106 and len(after) == 5
+    between = state(load_state(spark, root, 1, ["dispute_current"])["dispute_current"])
+    assert between[1]["#_Of_Escalations"] == 1
+    compact(spark, root, 0, ["dispute_current", "dispute_history"])
+    again = state(load_state(spark, root, 2, ["dispute_current"])["dispute_current"])
+    assert {k: v["#_Of_Escalations"] for k, v in again.items()} == {k: v["#_Of_Escalations"] for k, v in after.items()}
+    assert load_state(spark, root, 2, ["dispute_history"])["dispute_history"].count() == 6
+
+
+def test_a_row_whose_disputes_all_fail_is_one_error(spark, tables):
+    gone = {**tables, "dispute_history": tables["dispute_history"].filter("DH_ID > 200")}
+    sub = frame(spark, [(1, "Close Disputes", "BMI", "11", "S1"), (2, "Close Disputes", "BMI", "77", "S1")],
+                "Line_ID long, Action string, Source_TBL string, Source_ID string, Comp_Serial string")
+    result = review_folder(sub, gone, NOW)
+    got = errors(result)
+    assert len(result.results.collect()) == 2
+    assert got[1] == "DSB_ID has no prior version in Dispute History" and got[2].startswith("There are no open")
+    work = {(r["Source_TBL"], r["Source_ID"]): r["Rep"] for r in result.snapshots["worklist"].collect()}
+    assert work["BMI", "11"] is None
+
+
+def test_claims_of_two_batches_differ(spark, tables):
+    rows = [(0, "S1", "B1", "5")]
+    sub = frame(spark, rows, "Line_ID long, Comp_Serial string, BAN string, Dispute_Amt string")
+    first = run_folder("03_Non-Seeds", sub, tables, NOW)
+    second = run_folder("03_Non-Seeds", sub, advance(tables, first), NOW)
+    claims = [r.appends["dispute_header"].first()["STC_Claim_Number"] for r in (first, second)]
+    assert claims[0] != claims[1]
