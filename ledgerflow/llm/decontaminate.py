@@ -109,7 +109,7 @@ def matches(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, similarit
     c = F.col
     items = stable(
         items.where(c("item_id").isNotNull()).select("item_id", words(c("text")).alias("iw"))
-        .where(F.size("iw") > 0).distinct().withColumn("m", F.size("iw"))
+        .where(F.size("iw") > 0).distinct().withColumns({"m": F.size("iw"), "item_row": F.monotonically_increasing_id()})
     )
     short = [r["m"] for r in items.where(c("m") < shingle).select("m").distinct().collect()]  # under `shingle` values
     sizes = [shingle, *short]
@@ -157,11 +157,12 @@ def matches(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, similarit
         .withColumn("print", simhash(c("ww")))
     )
     marked = items.withColumn("item_print", simhash(c("iw")))
+    # Narrow rows, as there are thousands for each item; the items' words are joined to what is near.
     listed = marked.select(
-        "item_id", "m", "iw", "item_print",
+        "item_row", "m", "item_print",
         F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(c("item_print"), b).alias("value")) for b in range(BLOCKS)])).alias("b"),
     ).select(
-        "item_id", "m", "iw", "item_print", "b.block",
+        "item_row", "m", "item_print", "b.block",
         F.explode(F.transform(F.split(F.lit(",".join(map(str, _flips()))), ",").cast("array<int>"), lambda f: f.bitwiseXOR(c("b.value")))).alias("value"),
     )
     probes = printed.withColumn(
@@ -172,7 +173,8 @@ def matches(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, similarit
         probes.join(_sent(listed, n_items * BLOCKS * len(_flips())), ["m", "block", "value"])
         .withColumn("distance", distance).where(c("distance") <= RADIUS)
         # One of the blocks within reach is enough: the first.
-        .where(c("block") == _first_block(c("print"), c("item_print")))
+        .where(c("block") == _first_block(c("print"), c("item_print"))).drop("m")
+        .join(_sent(items, n_items), "item_row")
     )
     k = F.least(F.lit(shingle), c("m"))
     compared = near.select("doc_id", "item_id", "start", "distance", F.size("ww").alias("n_words"), "ww", "iw", k.alias("k"))
