@@ -148,4 +148,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_passages")
 def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = passages.passage_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_a", "doc_b", F.size("passages").alias("n_passages"), "passages")

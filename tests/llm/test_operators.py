@@ -210,7 +210,7 @@ def test_passages_leave_their_later_holders(spark):
     shared, rows = planted(random.Random(1))
     df = spark.createDataFrame([(*r, len(r[1] or ""), "x") for r in rows], "doc_id bigint, text string, n_chars bigint, _spans string")
     df = df.drop("_spans")
-    left = passages.remove_passages(df, passages.passages(df))
+    left = passages.remove_passages(df, passages.passage_pairs(df))
     assert left.columns == df.columns
     by = {r["doc_id"]: r for r in left.collect()}
     assert set(by) == {i for i, _ in rows}
@@ -224,7 +224,7 @@ def test_passages_leave_their_later_holders(spark):
 def test_a_text_of_passages_only_goes(spark):
     shared = prose(random.Random(2), 70)
     df = spark.createDataFrame([(1, shared), (2, shared), (3, shared + " tail")], "doc_id bigint, text string")
-    left = {r["doc_id"]: r["text"] for r in passages.remove_passages(df, passages.passages(df)).collect()}
+    left = {r["doc_id"]: r["text"] for r in passages.remove_passages(df, passages.passage_pairs(df)).collect()}
     assert left == {1: shared, 3: "tail"}
 
 
