@@ -228,6 +228,18 @@ def test_a_text_of_passages_only_goes(spark):
     assert left == {1: shared, 3: "tail"}
 
 
+def test_exact_passages_apart_are_both_found():
+    """Two passages of 60 words 40 words apart, and a copy of which each second paragraph is rewritten."""
+    s, rng = passages.Settings(), np.random.default_rng(3)
+    new = lambda n: rng.integers(1, 2**31 - 1, n).astype(np.int32)
+    for kept, other, times in ((60, 40, 2), (50, 40, 4)):
+        runs = [new(kept) for _ in range(times)]
+        a, b = (np.concatenate([np.concatenate((new(other), r)) for r in runs] + [new(other)]) for _ in range(2))
+        at = [other + i * (kept + other) for i in range(times)]
+        chain = [(i + 3, i + kept - 3, i + 3, i + kept - 3) for i in at]
+        assert sorted(passages.Spans(chain, a, b, s).all()) == [(i, i + kept, i, i + kept, 1.0) for i in at]
+
+
 # 10 decontamination
 
 
