@@ -240,6 +240,15 @@ def test_exact_passages_apart_are_both_found():
         assert sorted(passages.Spans(chain, a, b, s).all()) == [(i, i + kept, i, i + kept, 1.0) for i in at]
 
 
+def test_a_long_run_before_does_not_break_a_chain():
+    """The best predecessor within reach, where a better one is too far away."""
+    s = passages.Settings()
+    for far in (70, 300, 1000):
+        at = 800 + far
+        runs = [(at + i * 22, at + i * 22 + 21, at + i * 22, at + i * 22 + 21) for i in range(3)]
+        assert runs in passages.chains([(0, 800, 0, 800), *runs], s)
+
+
 # 10 decontamination
 
 
