@@ -260,6 +260,32 @@ def test_a_sparse_chain_hides_no_passage(spark):
     assert any((r["doc_a"], r["doc_b"]) == (2, 3) and r["n_words"] >= 60 for r in got)
 
 
+@pytest.mark.parametrize("identity", [0.8, 0.85, 0.9, 0.95, 1.0])
+def test_edited_passages_share_seeds_and_align(identity):
+    """Passages of 50 to 80 words with words replaced at random."""
+    s, rng = passages.Settings(), np.random.default_rng(5)
+    new = lambda n: rng.integers(-(2**31), 2**31 - 1, n).astype(np.int32)
+    for n in (50, 60, 80) * 10:
+        p = new(n)
+        q = p.copy()
+        q[rng.choice(n, round(n * (1 - identity)), replace=False)] = new(round(n * (1 - identity)))
+        a, b = np.concatenate((new(70), p, new(60))), np.concatenate((new(40), q, new(90)))
+        assert len(np.intersect1d(*(passages.seeds_of(w.astype(np.int64), s)[0] for w in (a, b))))
+        assert max(x1 - x0 for x0, x1, *_ in passages.shared(a, b, s)) >= 50
+
+
+def test_regularly_edited_passages_are_found(spark):
+    """Each eighth word of 60 replaced: seven equal words in a row, and few seeds."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(10):
+        p = prose(rng, 60).split()
+        q = [prose(rng, 1) if k % 8 == 3 else w for k, w in enumerate(p)]
+        rows += [(2 * i, f"{prose(rng, 40)} {' '.join(p)} {prose(rng, 50)}"), (2 * i + 1, f"{prose(rng, 60)} {' '.join(q)} {prose(rng, 30)}")]
+    got = passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r["doc_a"], r["doc_b"]) for r in got} == {(2 * i, 2 * i + 1) for i in range(10)}
+
+
 # 10 decontamination
 
 
