@@ -271,7 +271,7 @@ def test_edited_passages_share_seeds_and_align(identity):
         q[rng.choice(n, round(n * (1 - identity)), replace=False)] = new(round(n * (1 - identity)))
         a, b = np.concatenate((new(70), p, new(60))), np.concatenate((new(40), q, new(90)))
         assert len(np.intersect1d(*(passages.seeds_of(w.astype(np.int64), s)[0] for w in (a, b))))
-        assert max(x1 - x0 for x0, x1, *_ in passages.shared(a, b, s)) >= 50
+        assert max((x1 - x0 for x0, x1, *_ in passages.shared(a, b, s)), default=0) >= 50
 
 
 def test_regularly_edited_passages_are_found(spark):
@@ -286,6 +286,19 @@ def test_regularly_edited_passages_are_found(spark):
     assert {(r["doc_a"], r["doc_b"]) for r in got} == {(2 * i, 2 * i + 1) for i in range(10)}
 
 
+def test_lines_shared_outside_a_passage_do_not_hide_it(spark):
+    """The lines of the passage of 50 and 60 stand alone, and two and two, in earlier and in later documents."""
+    rng = random.Random(21)
+    for _ in range(3):
+        one, two, three = (prose(rng, 20) for _ in range(3))
+        pieces = [one, two, three, f"{one} {two}", f"{two} {three}"]
+        rows = [(k + i, f"{prose(rng, 30)} {p} {prose(rng, 30)}") for k in (1, 90) for i, p in enumerate(pieces)]
+        rows += [(k, f"{prose(rng, 40)} {one} {two} {three} {prose(rng, 40)}") for k in (50, 60)]
+        got = passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        # Brute force: only these two share 50 words.
+        assert [tuple(r[:6]) for r in got] == [(50, 60, 40, 100, 40, 100)]
+
+
 # 10 decontamination
 
 
