@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontaminate, main_text, ngram_join, passages, pieces, quality, token_counts, top_k, warc
+from ledgerflow.llm import (
+    decontaminate,
+    fill_middle,
+    main_text,
+    ngram_join,
+    passages,
+    pieces,
+    quality,
+    token_counts,
+    token_files,
+    top_k,
+    warc,
+    whitening,
+)
 from ledgerflow.llm.common import table
 from ledgerflow.llm.url_filter import judge_urls
 
@@ -150,3 +163,48 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages.passage_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_a", "doc_b", F.size("passages").alias("n_passages"), "passages")
+
+
+@query("op11_token_files")
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_files.read_documents(manifest)
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    # A sum that no long can hold is null.
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+FILL_SQL = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+u AS (
+  SELECT *, len(w) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM t),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+parts AS (
+  SELECT *, coalesce(array_to_string(w[1:a], ''), '') AS p, coalesce(array_to_string(w[a + 1:b], ''), '') AS m,
+    coalesce(array_to_string(w[b + 1:n], ''), '') AS s FROM cut)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op13_fill_middle", FILL_SQL)
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
