@@ -42,7 +42,7 @@ from ledgerflow.plans.review import (
     prov_job,
     ticket_job,
 )
-from ledgerflow.plans.run import error_return
+from ledgerflow.plans.run import error_return, review_folder
 from ledgerflow.plans.transitions import direct_actions, transition
 
 CONFIG = JobConfig(note_day_limit=200, prov_note_days=14, lv_note_days=14)
@@ -330,27 +330,41 @@ LEFT JOIN nation mp ON mp.n_nationkey = m.platform_id
 LEFT JOIN region mv ON mv.r_regionkey = m.platform_id % 5"""
 
 
-@check(
-    "seed_disputes",
-    f"""
-WITH x AS (
+SEEDED_SQL = """
+x AS (
   SELECT e.*, CAST(e.bill_date AS DATE) AS bill_day, p.full_name,
          CASE WHEN e.line_id % 10 = 5 THEN n.source_id ELSE CAST(e.line_id AS VARCHAR) END AS seed,
          CASE WHEN e.cost_type = 'MRC' THEN CAST(substr(e.source_id, 1) AS BIGINT) END AS master_id
   FROM v_enriched e JOIN v_num n ON n.line_id = e.line_id JOIN v_emp p ON p.comp_serial = n.comp_serial
-  WHERE e.error_message IS NULL AND e.cost_type <> 'NONE' AND NOT n.bad_number AND NOT n.bad_sign)
-SELECT (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY x.line_id) AS dsb_id,
-       '20010810_' || left(x.record_type, 1) || x.seed AS claim, x.full_name, x.vendor,
-       COALESCE(CASE WHEN x.platform = 'own' AND x.line_id % 2 = 0 THEN NULL ELSE x.platform END, bp.n_name)
-           AS platform,
+  WHERE e.error_message IS NULL AND e.cost_type <> 'NONE' AND NOT n.bad_number AND NOT n.bad_sign),
+y AS (
+  SELECT x.*, (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY line_id) AS key,
+         '20010810_' || left(record_type, 1) || seed AS claim,
+         CAST(CAST(dispute_amt AS DECIMAL(19,4)) AS DOUBLE) AS amount
+  FROM x)"""
+SEEDED_VIEWS = ("v_enriched", "v_num", "v_emp", "v_ban")
+SEEDED_PLATFORM = (
+    "COALESCE(CASE WHEN x.platform = 'own' AND x.line_id % 2 = 0 THEN NULL ELSE x.platform END, bp.n_name)"
+)
+
+
+@check(
+    "seed_disputes",
+    f"""
+WITH {SEEDED_SQL}
+SELECT x.key AS dsb_id, x.claim, x.full_name, x.vendor, {SEEDED_PLATFORM} AS platform,
        mp.n_name AS norm_platform, mv.r_name AS norm_vendor,
        CASE WHEN x.line_id % 8 = 0 THEN 'Given' WHEN x.line_id % 5 = 0 THEN 'Filed'
             ELSE 'Pending Review' END AS display_status,
-       CAST(CAST(x.dispute_amt AS DECIMAL(19,4)) AS DOUBLE) AS dispute_amount
-FROM x {MASTER_SQL.format(today="2001-08-15")}""",
-    ("v_enriched", "v_num", "v_emp", "v_ban"),
+       x.amount AS dispute_amount
+FROM y AS x {MASTER_SQL.format(today="2001-08-15")}""",
+    SEEDED_VIEWS,
 )
 def q_seed_disputes(spark, sf):
+    return _opened(_seeded(spark, sf))
+
+
+def _seeded(spark, sf):
     n = F.col("Line_ID")
     amounts = v_sub(spark, sf).select(
         F.col("line_id").alias("Line_ID"), F.col("amount_txt").alias("Approved_Amt")
@@ -367,7 +381,70 @@ def q_seed_disputes(spark, sf):
         )
     )
     tables = base_tables(spark, sf) | master_tables(spark, sf) | seed_tables(spark, sf)
-    return _opened(seed_disputes(sub, tables, ORDER_NOW))
+    return seed_disputes(sub, tables, ORDER_NOW)
+
+
+@check(
+    "dispute_header",
+    f"""
+WITH {SEEDED_SQL}
+SELECT x.key AS dsb_id, x.key AS orig_dh_id, x.claim, x.full_name AS disputer,
+       CASE WHEN x.line_id % 5 = 0 THEN 'Email' ELSE 'STC' END AS dispute_type, x.vendor,
+       {SEEDED_PLATFORM} AS platform, x.ban, x.bill_date, trim(x.usi) AS usi, x.amount AS dispute_amount,
+       COALESCE(x.master_id, b.id) AS banmaster_id, x.source_tbl, x.source_id,
+       '2001-08-15 12:00:00' AS edit_dt
+FROM y AS x {MASTER_SQL.format(today="2001-08-15")}""",
+    SEEDED_VIEWS,
+)
+def dispute_header(spark, sf):
+    """The header rows of new seeds, linked to their first history row."""
+    return _seeded(spark, sf).appends["dispute_header"].select(
+        F.col("DSB_ID").alias("dsb_id"),
+        F.col("Orig_DH_ID").alias("orig_dh_id"),
+        F.col("STC_Claim_Number").alias("claim"),
+        F.col("Disputer").alias("disputer"),
+        F.col("Dispute_Type").alias("dispute_type"),
+        F.col("Vendor").alias("vendor"),
+        F.col("Platform").alias("platform"),
+        F.col("BAN").alias("ban"),
+        day_text("Bill_Date").alias("bill_date"),
+        F.col("USI").alias("usi"),
+        F.col("Dispute_Amount").cast("double").alias("dispute_amount"),
+        F.col("BanMaster_ID").alias("banmaster_id"),
+        F.col("Source_TBL").alias("source_tbl"),
+        F.col("Source_ID").alias("source_id"),
+        F.date_format("Edit_DT", "yyyy-MM-dd HH:mm:ss").alias("edit_dt"),
+    )
+
+
+@check(
+    "dispute_detail",
+    f"""
+WITH {SEEDED_SQL}
+SELECT y.key AS ds_id, y.key AS dsb_id, y.cost_type, y.seed AS cost_type_seed,
+       CASE y.cost_type WHEN 'MRC' THEN 'TX' WHEN 'OCC' THEN 'CA' WHEN 'TAS' THEN 'NY' WHEN 'USAGE' THEN 'FL'
+            WHEN 'LPC' THEN 'WA' WHEN 'ADJ' THEN 'OR' ELSE o.o_orderstatus END AS state,
+       y.usoc, CASE y.cost_type WHEN 'MRC' THEN c.c_mktsegment WHEN 'OCC' THEN p.p_name END AS usoc_desc,
+       y.cpid, y.record_type, CAST(CAST(y.billed_amt AS DECIMAL(19,4)) AS DOUBLE) AS billed_amt,
+       y.amount AS claimed_amt, y.phrase_code,
+       CASE WHEN y.cost_type = 'OCC' THEN 'SO' || y.seed END AS causing_so,
+       CASE WHEN y.cost_type = 'OCC' THEN 'PN' || y.seed END AS pon,
+       CASE WHEN y.cost_type = 'USAGE' THEN '0.5' END AS usage_rate, y.jurisdiction
+FROM y LEFT JOIN orders o ON o.o_orderkey = CAST(y.seed AS BIGINT)
+LEFT JOIN customer c ON c.c_custkey = CAST(y.seed AS BIGINT)
+LEFT JOIN part p ON p.p_partkey = CAST(y.seed AS BIGINT)""",
+    SEEDED_VIEWS,
+)
+def dispute_detail(spark, sf):
+    """The detail rows of new seeds, with all that their cost rows filled in."""
+    named = ("DS_ID", "DSB_ID", "Cost_Type", "Cost_Type_Seed", "State", "USOC", "USOC_Desc", "CPID", "Record_Type")
+    rest = ("Causing_SO", "PON", "Usage_Rate", "Jurisdiction")
+    return _seeded(spark, sf).appends["dispute_detail"].select(
+        *[F.col(c).alias(c.lower()) for c in (*named, *rest)],
+        F.col("Billed_Amt").cast("double").alias("billed_amt"),
+        F.col("Claimed_Amt").cast("double").alias("claimed_amt"),
+        F.col("Billed_Phrase_Code").alias("phrase_code"),
+    )
 
 
 def _opened(result):
@@ -666,6 +743,80 @@ def q_note_job(spark, sf):
     )
 
 
+FOLDER_STEPS = f"""
+WITH today AS (
+  SELECT DISTINCT source_tbl, source_id FROM v_current
+  WHERE status = 'Open' AND dispute_category = 'GRT CNR' AND dsb_id % 8 = 0),
+n0 AS (
+  SELECT r.*, r.line_id % 3 AS act FROM v_rev r
+  LEFT JOIN today t ON t.source_tbl = r.source_tbl AND t.source_id = r.source_id
+  WHERE full_name IS NOT NULL
+    AND (r.line_id % 3 <> 2 OR (t.source_id IS NULL AND NOT bad_number AND NOT bad_sign AND COALESCE(amount, 0) <= 200))),
+w AS (
+  SELECT * FROM n0 QUALIFY ROW_NUMBER() OVER (PARTITION BY act, source_tbl, source_id ORDER BY line_id) = 1),
+d AS (
+  SELECT c.*, h.dh_id IS NOT NULL AS has_prior FROM v_current c LEFT JOIN v_history h ON h.dh_id = c.dh_id
+  WHERE status = 'Open' AND c.dispute_category = 'GRT CNR'),
+noted AS (
+  SELECT d.dsb_id, w.reason FROM d JOIN w ON w.act = 2 AND w.source_tbl = d.source_tbl AND w.source_id = d.source_id),
+raised AS (
+  SELECT d.dsb_id, (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY w.line_id, d.dsb_id) AS key
+  FROM d JOIN w ON w.act = 0 AND w.source_tbl = d.source_tbl AND w.source_id = d.source_id
+  WHERE d.display_status = 'Denied - Pending' OR d.dispute_type = 'Email'),
+shut AS (
+  SELECT d.dsb_id, w.reason, (SELECT MAX(o_orderkey) FROM orders) + (SELECT COUNT(*) FROM raised)
+         + ROW_NUMBER() OVER (ORDER BY w.line_id, d.dsb_id) AS key
+  FROM d LEFT JOIN raised e ON e.dsb_id = d.dsb_id
+  JOIN w ON w.act = 1 AND w.source_tbl = d.source_tbl AND w.source_id = d.source_id
+  WHERE (d.dispute_type = 'Email' OR (e.dsb_id IS NULL AND d.display_status = 'Denied - Pending'))
+    AND (e.dsb_id IS NOT NULL OR d.has_prior))"""
+
+
+def _folder(spark, sf):
+    """A review file with three actions, of which one source may have all."""
+    n = F.col("Line_ID")
+    action = F.when(n % 3 == 0, "Escalate Disputes").when(n % 3 == 1, "Close Disputes").otherwise("Dispute Note")
+    sub = review_sub(spark, sf, "").withColumn("Action", action)
+    return review_folder(sub, base_tables(spark, sf), EVENT_NOW, CONFIG)
+
+
+@check(
+    "review_folder_snapshot",
+    f"""
+{FOLDER_STEPS}
+SELECT c.dsb_id, CASE WHEN s.dsb_id IS NOT NULL THEN 'Closed' ELSE c.status END AS status,
+       CASE WHEN s.dsb_id IS NOT NULL THEN 'Denied - Closed' WHEN e.dsb_id IS NOT NULL THEN 'Filed'
+            ELSE c.display_status END AS display_status,
+       CASE WHEN e.dsb_id IS NOT NULL THEN COALESCE(c.n_escalations, 0) + 1 ELSE c.n_escalations END AS n_escalations,
+       s.reason AS close_reason,
+       CASE WHEN s.dsb_id IS NULL AND e.dsb_id IS NULL THEN n.reason END AS note,
+       COALESCE(s.key, e.key, c.dh_id) AS dh_id
+FROM v_current c LEFT JOIN noted n ON n.dsb_id = c.dsb_id LEFT JOIN raised e ON e.dsb_id = c.dsb_id
+LEFT JOIN shut s ON s.dsb_id = c.dsb_id""",
+    ("v_rev", "v_current", "v_history"),
+)
+def review_folder_snapshot(spark, sf):
+    """The current state after a file of notes, escalations and closures; each sees the one before."""
+    return _state(_folder(spark, sf).snapshots["dispute_current"]).select(
+        "dsb_id", "status", "display_status", "n_escalations", "close_reason", "note", "dh_id"
+    )
+
+
+@check(
+    "review_folder_history",
+    f"""
+{FOLDER_STEPS}
+SELECT key AS dh_id, dsb_id, 'Filed' AS display_status FROM raised
+UNION ALL SELECT key, dsb_id, 'Denied - Closed' FROM shut""",
+    ("v_rev", "v_current", "v_history"),
+)
+def review_folder_history(spark, sf):
+    """The history rows of the same file: the keys of one action go on where the one before ended."""
+    return _folder(spark, sf).appends["dispute_history"].select(
+        F.col("DH_ID").alias("dh_id"), F.col("DSB_ID").alias("dsb_id"), F.col("Display_Status").alias("display_status")
+    )
+
+
 def queue_sql(waiting: str, message: str, listed: str) -> str:
     """Outcome, notes and queue rows of an outbound queue job."""
     return f"""

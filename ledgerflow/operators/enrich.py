@@ -120,8 +120,36 @@ def seed_number(seed: str) -> Column:
     return F.col(seed).cast("string").try_cast("bigint")
 
 
-def _payload(rule: CostRule, cost_type: Column, amount: Column, record_type: Column) -> list[Column]:
-    """The columns that one cost row offers to a seed, under common names."""
+# The column in which a mined row brings along what its charge offers.
+CARRIED = "_cost"
+
+# The columns a charge may offer, and their types.
+OFFERED = {
+    "Record_Type": "string",
+    "Vendor": "string",
+    "BAN": "string",
+    "Bill_Date": "date",
+    "State": "string",
+    "Billed_Amt": "string",
+    "Dispute_Amt": "string",
+    "Platform": "string",
+    "USOC": "string",
+    "USOC_Desc": "string",
+    "Phrase_Code": "string",
+    "Causing_SO": "string",
+    "PON": "string",
+    "Jurisdiction": "string",
+    "Usage_Rate": "string",
+    "Source_TBL": "string",
+    "Source_ID": "string",
+    "USI": "string",
+    "CPID": "string",
+    "BANMaster_ID": "bigint",
+}
+
+
+def _values(rule: CostRule, amount: Column, record_type: Column) -> dict[str, Column]:
+    """What one cost row offers to a seed, under common names."""
     values: dict[str, Column] = {
         "Record_Type": record_type,
         "Vendor": F.col("Vendor"),
@@ -141,13 +169,31 @@ def _payload(rule: CostRule, cost_type: Column, amount: Column, record_type: Col
         values["USI"] = F.col(rule.usi[0]) if rule.usi_as_is else first_non_blank(*rule.usi)
     if rule.compared:
         values |= {"CPID": F.col("CPID"), "BANMaster_ID": F.col("BANMasterID")}
+    return values
+
+
+def payload(cost_type: str) -> dict[str, Column]:
+    """What a row of the type's cost table offers, in the shape that all types share."""
+    rule = COST_RULES[cost_type]
+    record_type = F.upper(rule.record_type_from) if rule.record_type_from else F.lit(rule.record_type)
+    values = _values(rule, F.col(rule.amount), record_type)
+    return {c: values.get(c, F.lit(None)).cast(kind) for c, kind in OFFERED.items()}
+
+
+def _payload(rule: CostRule, cost_type: Column, amount: Column, record_type: Column) -> list[Column]:
     return [
         cost_type.alias("Cost_Type"),
         F.col(rule.key).cast("bigint").alias("Cost_Seed"),
-        *[v.alias(c) for c, v in values.items()],
+        *[v.alias(c) for c, v in _values(rule, amount, record_type).items()],
     ]
 
 
+def best_match(compared: DataFrame) -> DataFrame:
+    """One matched record of each recurring charge and invoice."""
+    order = [F.col("CPID").asc(), F.col("BANMasterID").asc()]
+    return first_per(compared, ["BDT_MRC_ID", "Invoice_Date"], order)
+
+
 def cost_records(
     sub: DataFrame, tables: Mapping[str, DataFrame], cost_types: Iterable[str], seed: str
 ) -> DataFrame:
@@ -170,11 +216,7 @@ def cost_records(
             compared = narrow(tables["mrc_cmp"], asked, {"_seed": "BDT_MRC_ID"})
             part = lookup(
                 part,
-                first_per(
-                    compared,
-                    ["BDT_MRC_ID", "Invoice_Date"],
-                    [F.col("CPID").asc(), F.col("BANMasterID").asc()],
-                ),
+                best_match(compared),
                 ["BDT_MRC_ID", "Invoice_Date"],
                 {"CPID": "CPID", "BANMasterID": "BANMasterID"},
             )
@@ -226,6 +268,19 @@ def enrich_by_cost_type(
         {f"_b_{c}": c for c in offered},
         "_found",
     )
+    return _filled(sub, joined, offered, wanted).drop("_seed")
+
+
+def enrich_carried(mined: DataFrame, cost_types: Iterable[str] = tuple(COST_RULES)) -> DataFrame:
+    """As `enrich_by_cost_type`, of rows that bring along their charge in `CARRIED`."""
+    sub = mined.drop(CARRIED)
+    carried = {f"_b_{c}": F.col(f"{CARRIED}.{c}") for c in OFFERED}
+    joined = mined.withColumns(carried | {"_found": F.col(CARRIED).isNotNull()}).drop(CARRIED)
+    return _filled(sub, joined, list(OFFERED), list(cost_types))
+
+
+def _filled(sub: DataFrame, joined: DataFrame, offered: list[str], wanted: list[str]) -> DataFrame:
+    """The rows of `sub`, overwritten and filled from the offered columns `_b_...` next to them."""
     active = F.col(ERROR_COLUMNS).isNull() & F.coalesce(
         F.col("Cost_Type").isin(wanted), F.lit(False)
     )
@@ -253,4 +308,4 @@ def enrich_by_cost_type(
         filled,
         [Rule("Cost_Type, Cost_Type_Seed", "Cost_Type_Seed does not exist", F.col("_missing"))],
     )
-    return flagged.drop("_seed", "_found", "_missing", *[f"_b_{c}" for c in offered])
+    return flagged.drop("_found", "_missing", *[f"_b_{c}" for c in offered])

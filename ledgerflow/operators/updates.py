@@ -25,20 +25,22 @@ def apply_updates(
     set_cols: Iterable[str],
     order: Iterable[Column] | None = None,
     where: Column | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """The target with the set columns replaced on matching rows; null replaces too.
 
     Of several changes with one key the first in `order` wins; without an order, the
-    greatest values, so that a repeated key never multiplies the target. Columns of
-    the change that the target lacks are added. `where` limits the target rows.
+    greatest values, so that a repeated key never multiplies the target. `unique` says
+    that the changes have one row a key, which saves ranking them. Columns of the change
+    that the target lacks are added. `where` limits the target rows.
     """
     pairs = key_map(keys)
     set_cols = list(set_cols)
-    if order is None:
-        order = [F.col(c).desc_nulls_last() for c in set_cols]
-    changes = first_per(changes, pairs.values(), order)
+    if not unique:
+        by = [F.col(c).desc_nulls_last() for c in set_cols] if order is None else order
+        changes = first_per(changes, pairs.values(), by)
     joined = lookup(
-        target, changes, pairs, {f"_new_{c}": c for c in set_cols}, "_hit", own_shuffle=True
+        target, changes, pairs, {f"_new_{c}": c for c in set_cols}, "_hit", own_shuffle=not unique
     )
     hit = F.col("_hit") if where is None else F.col("_hit") & where
     have = {c.lower(): c for c in target.columns}

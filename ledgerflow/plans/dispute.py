@@ -19,10 +19,10 @@ from ledgerflow.functions import (
 )
 from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import conform, default_where, initial_status, trim_all, with_source
-from ledgerflow.operators.enrich import enrich_by_cost_type
+from ledgerflow.operators.enrich import CARRIED, enrich_by_cost_type, enrich_carried
 from ledgerflow.operators.filters import clean, flag_unlisted
 from ledgerflow.operators.joins import join_chain, join_effective, with_employee
-from ledgerflow.operators.keys import assign_ids, next_id, stable
+from ledgerflow.operators.keys import number_lines, number_rows, stable
 from ledgerflow.operators.validate import (
     amount_rules,
     bill_date_rules,
@@ -30,7 +30,7 @@ from ledgerflow.operators.validate import (
     known_employee,
     validate,
 )
-from ledgerflow.plans.tables import JobResult, Tables
+from ledgerflow.plans.tables import JobResult, Tables, first_free
 
 # The columns a seed file is padded to.
 SEED_COLUMNS = (
@@ -120,26 +120,25 @@ def append_dispute(
     submitted: Column | None = None,
     starts: Mapping[str, int] | None = None,
     order: Iterable[str] = ("Line_ID",),
-) -> dict[str, DataFrame]:
-    """Linked rows for header, detail, history and current state.
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Linked rows for header, detail, history and current state, and the next free keys.
 
-    `rows` holds clean seed-shaped rows with Line_ID and Full_Name. One dispute
-    has one row in each table, so a single numbering pass serves the three keys,
-    and the keys are carried instead of joined back through the claim text. The
-    header knows its first history key before it is written.
+    `rows` holds clean seed-shaped rows with Line_ID and Full_Name, read from a
+    written frame. One dispute has one row in each table, so a single numbering
+    serves the three keys, and the keys are carried instead of joined back through
+    the claim text. The rows are numbered first and looked up then; what comes of it is
+    written once, and the four tables are columns of that copy. The header knows its
+    first history key before it is written.
     """
-    starts = starts or {
-        "DSB_ID": next_id(tables["dispute_header"], "DSB_ID"),
-        "DS_ID": next_id(tables["dispute_detail"], "DS_ID"),
-        "DH_ID": next_id(tables["dispute_history"], "DH_ID"),
-    }
+    first = first_free(tables, ("DSB_ID", "DS_ID", "DH_ID"), starts)
+    order = tuple(order)
+    numbered, total = number_lines(rows, first) if order == ("Line_ID",) else number_rows(rows, order, first)
     now = as_moment(as_of)
     master = tables["ban_master"].select(
         "BAN", "ID", "BDT_Vendor", "Start_Date", "End_Date", "PlatformMasterID", "VendorMasterID"
     )
-    rows = rows.withColumn("Bill_Day", to_day("Bill_Date"))
     dated = join_effective(
-        rows,
+        numbered.withColumn("Bill_Day", to_day("Bill_Date")),
         master,
         as_of,
         "Bill_Day",
@@ -172,7 +171,7 @@ def append_dispute(
         }
     )
     # The claim may be made from the new keys.
-    keyed = assign_ids(settled, list(order), dict(starts)).withColumn("Claim_No", claim)
+    keyed = stable(settled.withColumn("Claim_No", claim))
 
     def pick(**columns: str | Column) -> DataFrame:
         return keyed.select(
@@ -273,12 +272,13 @@ def append_dispute(
             "DH_ID": "DH_ID",
         }
     )
-    return {
+    appends = {
         "dispute_header": header,
         "dispute_detail": detail,
         "dispute_history": history,
         "dispute_current": current,
     }
+    return appends, {key: start + total for key, start in first.items()}
 
 
 def check_employee(df: DataFrame, tables: Tables) -> DataFrame:
@@ -309,8 +309,8 @@ def seed_disputes(
     ]
     enriched = enrich_by_cost_type(validate(rows, rules), tables, cost_types)
     results = stable(check_employee(enriched, tables))
-    appends = append_dispute(clean(results), tables, as_of, seed_claim(as_of), starts=starts)
-    return JobResult(results, appends)
+    appends, counters = append_dispute(clean(results), tables, as_of, seed_claim(as_of), starts=starts)
+    return JobResult(results, appends, counters=counters)
 
 
 def review_seed_disputes(
@@ -322,7 +322,8 @@ def review_seed_disputes(
 ) -> JobResult:
     """New disputes from cost rows that a review mined; the category is fixed.
 
-    `mined` has Seed, Cost_Type and Record_Type next to the review columns.
+    `mined` has Seed, Cost_Type and Record_Type next to the review columns, and may bring
+    along its charges (`mine_cost` with `carry`); else they are looked up.
     """
     renamed = mined.withColumnsRenamed(
         {
@@ -335,14 +336,18 @@ def review_seed_disputes(
     rows = conform(renamed, SEED_COLUMNS).withColumns(
         {"Dispute_Category": F.lit(REVIEW_CATEGORY), "Audit_Type": F.lit("CNR Audit")}
     )
-    enriched = enrich_by_cost_type(rows, tables, cost_types)
+    enriched = (
+        enrich_carried(rows, cost_types)
+        if CARRIED in mined.columns
+        else enrich_by_cost_type(rows, tables, cost_types)
+    )
     defaulted = default_where(
         enriched,
         F.col("Error_Columns").isNull() & (F.col("Source_TBL") == "PCI"),
         {"Dispute_Type": "Email"},
     )
     results = stable(check_employee(defaulted, tables))
-    appends = append_dispute(
+    appends, counters = append_dispute(
         clean(results),
         tables,
         as_of,
@@ -350,7 +355,7 @@ def review_seed_disputes(
         starts=starts,
         order=("Line_ID", "Cost_Type", "Cost_Type_Seed"),
     )
-    return JobResult(results, appends)
+    return JobResult(results, appends, counters=counters)
 
 
 def nonseed_disputes(
@@ -388,7 +393,7 @@ def nonseed_disputes(
             "CPID",
         )
     }
-    appends = append_dispute(
+    appends, counters = append_dispute(
         clean(results).withColumns(unset),
         tables,
         as_of,
@@ -396,4 +401,4 @@ def nonseed_disputes(
         submitted=F.col("Moment").cast("date").cast("timestamp_ntz"),
         starts=starts,
     )
-    return JobResult(results, appends)
+    return JobResult(results, appends, counters=counters)

@@ -174,6 +174,7 @@ def _moved(rows: DataFrame, step: Transition, tables: Tables) -> JobResult:
         {"dispute_history": step.history, "dispute_notes": step.notes},
         {"dispute_current": step.snapshot(tables["dispute_current"])},
         {"dispute_current": step.changes},
+        counters=dict(step.counters),
     )
 
 
@@ -370,6 +371,20 @@ def work_items(tables: Tables, rows: DataFrame, columns: Mapping[str, str]) -> D
     return items.select(*SOURCE, *[F.col(v).alias(k) for k, v in columns.items()]).distinct()
 
 
+def products_of(listed: DataFrame, mrc: DataFrame) -> DataFrame:
+    """The products billed to the listed sources in the months that the worklist names.
+
+    `listed` is a written frame. The first and last month are literals, which prune the
+    partitions of a table laid out by date; source and month cut what is left.
+    """
+    asked = listed.filter(F.col("Source_TBL") == "BMI").select("Source_No", "Max_CNR_Date")
+    day = F.col("Max_CNR_Date").cast("date")
+    first, last = asked.agg(F.min(day), F.max(day)).first()
+    dated = mrc.filter(F.col("Invoice_Date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    own = narrow(dated, asked, {"Source_No": "BMI_ID", "Max_CNR_Date": "Invoice_Date"})
+    return own.select("BMI_ID", "Invoice_Date", "Product_Type").distinct()
+
+
 def prov_job(
     sub: DataFrame,
     tables: Tables,
@@ -403,12 +418,8 @@ def prov_job(
             "Max_CNR_Date": "Max_CNR_Date",
         },
     )
-    listed = clean(rows).join(items, list(SOURCE))
-    products = (
-        narrow(tables["mrc"], clean(rows), {"Source_No": "BMI_ID"})
-        .select("BMI_ID", "Invoice_Date", "Product_Type")
-        .distinct()
-    )
+    listed = stable(clean(rows).join(items, list(SOURCE)))
+    products = products_of(listed, tables["mrc"])
     queue = conditional_lookup(
         listed,
         products,
@@ -645,8 +656,8 @@ def dispute_job(
     # A date that cannot be read is an error; only a missing one is filled in.
     rows = one_per_source(validate(rows, [is_date("Start_Date")]))
     other = rows.filter(~F.coalesce(F.col("Source_TBL").isin("BMI", "PCI"), F.lit(False)))
-    dated = start_dates(rows, tables, as_of)
-    mined = stable(mine_cost(clean(dated), tables))
+    dated = stable(start_dates(rows, tables, as_of))
+    mined = stable(mine_cost(clean(dated), tables, carry=True))
     rows = must_derive(
         union_all(dated, other.withColumn("Start_Date", to_day("Start_Date"))),
         mined,
@@ -657,7 +668,9 @@ def dispute_job(
     opened = review_seed_disputes(
         mined.drop("Full_Name", "Initials"), tables, as_of, cost_types, starts
     )
-    result = JobResult(union_all(rows, rejected(opened.results)), dict(opened.appends))
+    result = JobResult(
+        union_all(rows, rejected(opened.results)), dict(opened.appends), counters=opened.counters
+    )
     return _stamp(result, rows, tables, "Dispute Review", as_of, "Action_Reason", "New Dispute")
 
 

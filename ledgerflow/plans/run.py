@@ -11,7 +11,6 @@ from ledgerflow.config import JobConfig
 from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import conform
 from ledgerflow.operators.filters import flag_unlisted, rejected, split_by
-from ledgerflow.operators.joins import narrow
 from ledgerflow.operators.keys import stable
 from ledgerflow.operators.relational import collect_errors, union_all
 from ledgerflow.operators.validate import outcome_summary
@@ -22,12 +21,12 @@ from ledgerflow.plans.dispute import (
     seed_disputes,
 )
 from ledgerflow.plans.review import REVIEW_COLUMNS, REVIEW_JOBS, other_job
-from ledgerflow.plans.state import CHANGED_BY
+from ledgerflow.plans.state import Layers
 from ledgerflow.plans.tables import JobResult, Tables
 from ledgerflow.plans.transitions import ACTION_COLUMNS, direct_actions
 from ledgerflow.sources.attachments import scan_attachments
 
-# Actions whose jobs read the job settings.
+# Actions whose jobs read the job settings and give out keys.
 CONFIGURED = (
     "Dispute Note",
     "Escalate Disputes",
@@ -39,63 +38,44 @@ CONFIGURED = (
 
 
 def advance(tables: Tables, result: JobResult) -> dict[str, DataFrame]:
-    """The tables after a job: new snapshots, then appended rows."""
-    after = dict(tables) | result.snapshots
-    for name, rows in result.appends.items():
-        after[name] = union_all(after[name], rows)
-    return after
-
-
-def merge(results: list[JobResult]) -> JobResult:
-    """One result of several jobs run one after the other."""
-    appends: dict[str, list[DataFrame]] = {}
-    changes: dict[str, list[DataFrame]] = {}
-    snapshots: dict[str, DataFrame] = {}
-    for r in results:
-        snapshots |= r.snapshots
-        for name, rows in r.appends.items():
-            appends.setdefault(name, []).append(rows)
-        for name, rows in r.changes.items():
-            changes.setdefault(name, []).append(rows)
-    return JobResult(
-        union_all(*[r.results for r in results]),
-        {name: union_all(*parts) for name, parts in appends.items()},
-        snapshots,
-        {name: parts[0] if len(parts) == 1 else _keys_of(name, parts, snapshots) for name, parts in changes.items()},
-    )
-
-
-def _keys_of(name: str, parts: list[DataFrame], snapshots: Mapping[str, DataFrame]) -> DataFrame:
-    """The rows, in their last state, of all keys that several jobs changed."""
-    keys = list(CHANGED_BY[name].values())
-    return narrow(snapshots[name], union_all(*[p.select(*keys) for p in parts]), keys)
+    """The tables after a job."""
+    layers = Layers(tables)
+    layers.push(result)
+    return layers.tables()
 
 
 def review_folder(
-    sub: DataFrame, tables: Tables, as_of: AsOf, config: JobConfig = JobConfig()
+    sub: DataFrame,
+    tables: Tables,
+    as_of: AsOf,
+    config: JobConfig = JobConfig(),
+    starts: Mapping[str, int] | None = None,
 ) -> JobResult:
     """All actions of a review file, in the configured order; unlisted actions are errors.
 
-    Each job is planned on the tables as the jobs before it left them. Actions
-    that no row asks for are skipped.
+    Each job is planned on the tables as the jobs before it left them: the tables, and
+    a layer of changed keys above them. Actions that no row asks for are skipped.
     """
     listed = (*config.review_actions, *config.other_review_actions)
     rows = stable(flag_unlisted(conform(sub, REVIEW_COLUMNS), "Action", listed))
     asked = rows.filter(F.col("Action").isin(list(listed))).select("Action").distinct()
     present = {r[0] for r in asked.collect()}
     slices = split_by(rows, "Action", [a for a in listed if a in present])
-    done = [JobResult(rejected(rows))]
+    layers = Layers(tables, starts)
+    outcomes = [rejected(rows)]
     for action, part in slices.items():
         job = REVIEW_JOBS.get(action, other_job)
-        extra = {"config": config} if action in CONFIGURED else {}
+        extra: dict = {"config": config} if action in CONFIGURED else {}
         if action == "Dispute":
             extra["cost_types"] = config.cost_types
+        if extra:
+            extra["starts"] = layers.counters
         if action == "Send to LV" and config.attachment_folder:
             extra["files"] = scan_attachments(sub.sparkSession, config.attachment_folder)
-        result = job(part, tables, as_of, **extra)
-        done.append(result)
-        tables = advance(tables, result)
-    return merge(done)
+        result = job(part, layers.tables(), as_of, **extra)
+        outcomes.append(result.results)
+        layers.push(result)
+    return layers.result(union_all(*outcomes))
 
 
 FOLDER_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -114,19 +94,24 @@ def own_columns(df: DataFrame, folder: str) -> DataFrame:
 
 
 def run_folder(
-    folder: str, sub: DataFrame, tables: Tables, as_of: AsOf, config: JobConfig = JobConfig()
+    folder: str,
+    sub: DataFrame,
+    tables: Tables,
+    as_of: AsOf,
+    config: JobConfig = JobConfig(),
+    starts: Mapping[str, int] | None = None,
 ) -> JobResult:
-    """The job of one inbox folder."""
+    """The job of one inbox folder; `starts` are the next free keys, looked up if not told."""
     if folder not in FOLDER_COLUMNS:
         raise ValueError(f"no job for folder {folder}")
     sub = own_columns(sub, folder)
     if folder == "01_BMI-PCI":
-        return review_folder(sub, tables, as_of, config)
+        return review_folder(sub, tables, as_of, config, starts)
     if folder == "02_Seeds":
-        return seed_disputes(sub, tables, as_of, config.cost_types)
+        return seed_disputes(sub, tables, as_of, config.cost_types, starts=starts)
     if folder == "03_Non-Seeds":
-        return nonseed_disputes(sub, tables, as_of)
-    return direct_actions(sub, tables, as_of, config)
+        return nonseed_disputes(sub, tables, as_of, starts=starts)
+    return direct_actions(sub, tables, as_of, config, starts=starts)
 
 
 def error_return(results: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

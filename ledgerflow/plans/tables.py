@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.operators.keys import next_id
+
 Tables = Mapping[str, DataFrame]
 
 # The business tables by role.
@@ -52,18 +54,40 @@ TABLE_NAMES = (
 )
 
 
+# Where each dense key is in use.
+KEYED_TABLES = {
+    "DSB_ID": "dispute_header",
+    "DS_ID": "dispute_detail",
+    "DH_ID": "dispute_history",
+    "DN_ID": "dispute_notes",
+}
+
+
+def first_free(
+    tables: Tables, keys: Iterable[str], starts: Mapping[str, int] | None = None
+) -> dict[str, int]:
+    """The next free value of each key: as told, else one above the greatest in use."""
+    told = starts or {}
+    return {k: told[k] if k in told else next_id(tables[KEYED_TABLES[k]], k) for k in keys}
+
+
 @dataclass
 class JobResult:
     """Every submitted row with its outcome, rows to append, and new table states.
 
     `changes` holds, for a changed table, only the changed rows with their new
     values: for catalogs that can merge them instead of taking the whole state.
+    `changed` holds, written, all rows of the changed keys as the jobs of a folder left
+    them. A snapshot is the whole table, rows that were appended to it included.
+    `counters` names, for each key that the job gave out, the next one that is free.
     """
 
     results: DataFrame
     appends: dict[str, DataFrame] = field(default_factory=dict)
     snapshots: dict[str, DataFrame] = field(default_factory=dict)
     changes: dict[str, DataFrame] = field(default_factory=dict)
+    changed: dict[str, DataFrame] = field(default_factory=dict)
+    counters: dict[str, int] = field(default_factory=dict)
 
 
 def load_tables(spark: SparkSession, root: str, names: tuple[str, ...] = TABLE_NAMES) -> Tables:

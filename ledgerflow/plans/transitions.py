@@ -14,7 +14,7 @@ from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import conform, existing, prefixed, trim_all, with_source
 from ledgerflow.operators.filters import clean, flag_unlisted
 from ledgerflow.operators.joins import lookup, narrow, with_employee
-from ledgerflow.operators.keys import assign_ids, next_id, stable
+from ledgerflow.operators.keys import number_rows, stable
 from ledgerflow.operators.relational import first_per, union_all
 from ledgerflow.operators.updates import apply_updates
 from ledgerflow.operators.validate import (
@@ -27,7 +27,7 @@ from ledgerflow.operators.validate import (
     validate,
 )
 from ledgerflow.plans.dispute import source_label
-from ledgerflow.plans.tables import JobResult, Tables
+from ledgerflow.plans.tables import JobResult, Tables, first_free
 
 # The columns an action file is padded to.
 ACTION_COLUMNS = (
@@ -337,10 +337,14 @@ class Transition:
     history: DataFrame
     notes: DataFrame
     changes: DataFrame
+    counters: dict[str, int]
+    # One change a dispute at most.
+    unique: bool = False
 
     def snapshot(self, current: DataFrame) -> DataFrame:
         """The current state after the changes."""
-        return apply_updates(current, self.changes, ["DSB_ID"], self.changes.columns[1:])
+        columns = self.changes.columns[1:]
+        return apply_updates(current, self.changes, ["DSB_ID"], columns, unique=self.unique)
 
 
 def judge(
@@ -448,27 +452,29 @@ def transition(
     is_note = F.col("Action").isin(notes) if notes else F.lit(False)
     todo = clean(judged).filter(F.col("Action").isin(list(specs)))
     order = ["_note", "Line_ID", "DSB_ID"]
-    ranked = assign_ids(todo.withColumn("_note", is_note), order, 0, "_rank")
-    starts = dict(starts or {})
-    moving = 0
-    if len(notes) < len(specs):
-        starts.setdefault("DH_ID", next_id(tables["dispute_history"], "DH_ID"))
-        moving = ranked.filter(~F.col("_note")).count() if notes else 0
-    if notes:
-        starts.setdefault("DN_ID", next_id(tables["dispute_notes"], "DN_ID"))
+    ranked, total = number_rows(todo.withColumn("_note", is_note), order, {"_rank": 0})
+    used = (["DH_ID"] if len(notes) < len(specs) else []) + (["DN_ID"] if notes else [])
+    first = first_free(tables, used, starts)
+    if len(used) == 2:
+        moving = ranked.filter(~F.col("_note")).count()
+    else:
+        moving = 0 if notes else total
     rank = F.col("_rank")
     keyed = ranked.withColumns(
         {
-            "DH_ID": F.when(~F.col("_note"), rank + starts.get("DH_ID", 0)),
-            "DN_ID": F.when(F.col("_note"), rank - moving + starts.get("DN_ID", 0)),
+            "DH_ID": F.when(~F.col("_note"), rank + first.get("DH_ID", 0)),
+            "DN_ID": F.when(F.col("_note"), rank - moving + first.get("DN_ID", 0)),
         }
     )
+    given = {"DH_ID": moving, "DN_ID": total - moving}
     label = source_label(batch_label(as_of))
     return Transition(
         judged,
         _history_rows(keyed.filter(~F.col("_note")), specs, label),
         _note_rows(keyed.filter("_note")),
         _current_changes(keyed, specs, label),
+        {key: start + given[key] for key, start in first.items()},
+        unique=len(specs) == 1,
     )
 
 
@@ -580,23 +586,22 @@ def direct_actions(
     rows = stable(turned.drop("_all", "_place", "_dsb"))
     turns = rows.agg(F.max("_turn")).first()[0] or 1
 
-    starts = dict(starts or {})
-    starts.setdefault("DH_ID", next_id(tables["dispute_history"], "DH_ID"))
-    starts.setdefault("DN_ID", next_id(tables["dispute_notes"], "DN_ID"))
+    counters = first_free(tables, ("DH_ID", "DN_ID"), starts)
     work = dict(tables)
     done: list[Transition] = []
     for turn in range(1, turns + 1):
         step = transition(
-            rows.filter(F.col("_turn") == turn), work, as_of, allowed, config, starts
+            rows.filter(F.col("_turn") == turn), work, as_of, allowed, config, counters
         )
+        # A dispute has one action in a turn.
+        step.unique = True
+        counters |= step.counters
         done.append(step)
         if turn < turns:
             rest = rows.filter(F.col("_turn") > turn)
             part = narrow(work["dispute_current"], rest, ["DSB_ID"])
             work["dispute_current"] = stable(step.snapshot(part))
             work["dispute_history"] = union_all(work["dispute_history"], step.history)
-            starts["DH_ID"] = max(starts["DH_ID"], next_id(step.history, "DH_ID"))
-            starts["DN_ID"] = max(starts["DN_ID"], next_id(step.notes, "DN_ID"))
     changes = union_all(
         *[t.changes.withColumn("_turn", F.lit(i)) for i, t in enumerate(done, start=1)]
     )
@@ -607,6 +612,8 @@ def direct_actions(
         first_per(changes, ["DSB_ID"], [F.col("_turn").desc()]).drop("_turn")
         if turns > 1
         else done[0].changes,
+        counters,
+        unique=True,
     )
     return JobResult(
         union_all(*[submitted(t.results) for t in done]),
@@ -616,6 +623,7 @@ def direct_actions(
         },
         {"dispute_current": last.snapshot(tables["dispute_current"])},
         {"dispute_current": last.changes},
+        counters=counters,
     )
 
 

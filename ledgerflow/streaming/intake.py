@@ -12,8 +12,8 @@ from ledgerflow.config import FOLDER_RANK, JobConfig
 from ledgerflow.functions.dates import AsOf
 from ledgerflow.operators.conform import conform
 from ledgerflow.operators.validate import Rule, validate
-from ledgerflow.plans.run import advance, error_return, run_folder
-from ledgerflow.plans.state import changed_rows, commit
+from ledgerflow.plans.run import error_return, run_folder
+from ledgerflow.plans.state import Layers, commit, load_counters
 from ledgerflow.plans.tables import Tables
 from ledgerflow.sources.rowset import (
     OPTIONS,
@@ -77,27 +77,25 @@ def serve_batch(
     """
     rows = with_line_id(batch)
     present = {r[0] for r in rows.select("Folder_Name").distinct().collect()}
-    tables, outcome = dict(load(batch_id)), {}
+    spark = batch.sparkSession
+    # The keys in use are not looked for again: the batch before left the next free ones.
+    layers, outcome = Layers(load(batch_id), load_counters(spark, out, batch_id)), {}
     as_of = now()
-    appended: dict[str, list[DataFrame]] = {}
-    changed: dict[str, list[DataFrame]] = {}
     for folder, part in route(rows).items():
         if folder not in present:
             continue
-        result = run_folder(folder, part.drop("Folder_Name"), tables, as_of, config)
+        own = part.drop("Folder_Name")
+        result = run_folder(folder, own, layers.tables(), as_of, config, layers.counters)
         outcome[folder] = result.results
-        for name, frame in changed_rows(result).items():
-            changed.setdefault(name, []).append(frame)
-        for name, frame in result.appends.items():
-            appended.setdefault(name, []).append(frame)
-        tables = advance(tables, result)
+        layers.push(result)
     if present - set(FOLDER_RANK):
         stray = rows.filter(F.col("Folder_Rank").isNull())
         outcome["(unknown folder)"] = validate(
             conform(stray, []),
             [Rule("Folder_Name", "Folder_Name is not an inbox folder", F.lit(True))],
         )
-    commit({"appends": appended, "changes": changed}, out, batch_id)
+    changes = {name: [top] for name, top in layers.changed.items()}
+    commit({"appends": layers.added, "changes": changes}, out, batch_id, (spark, layers.counters))
     if outcome:
         errors, _ = error_return(outcome)
         write_error_files(errors, f"{out}/errors/batch_id={batch_id}", mode="overwrite")
