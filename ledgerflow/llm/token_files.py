@@ -19,8 +19,7 @@ files, and the manifest, written by the job that succeeded, names only those tha
 count. The ids before a file are a running sum over the manifest, one row a file.
 
 The tokenizer of the `tokenizers` library meets distinct words (text between ASCII
-white space), some hundreds in a call; their ids are remembered, for `REMEMBERED` words
-in a worker. That gives the ids of the whole text where the tokenizer's own splitting never
+white space); their ids are remembered, for `REMEMBERED` words in a worker. That gives the ids of the whole text where the tokenizer's own splitting never
 joins characters across white space and drops it; other tokenizers take
 `by_words=False` and whole texts.
 
@@ -32,6 +31,7 @@ there are no files, and the manifest is empty.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import struct
@@ -39,6 +39,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -57,9 +58,10 @@ FLUSH_IDS = 256 * BLOCK  # packed at once
 FILE_IDS = 1 << 26  # a file that has grown past it is closed; a document is never split
 FILE_DOCS = 1 << 20  # bounds the index of documents that a writer holds
 READ_IDS = 256 * BLOCK  # unpacked at once
-REMEMBERED = 1 << 19  # about 100 MB in a worker
+REMEMBERED = 1 << 20  # about 200 MB in a worker
 WORD_BYTES = 64  # longer words are not remembered
-LEARNED = 512  # unknown words in one call of the tokenizer
+PLAIN = r"([A-Za-z]+)([.,;:!?&%$#*()]*)"
+PROVED = 256  # plain words that each worker encodes the long way too
 PART_BYTES = 1 << 20  # of text, split into words at once
 MAGIC = b"LFPFOR01"
 HEAD = "<IHBB"  # least id, number of exceptions, width, unused
@@ -261,35 +263,59 @@ class TokenFile:
 # --- tokenizer ------------------------------------------------------------------------
 
 
-class Words(dict):
-    """Ids of words, as bytes. Unknown words are asked of the tokenizer some hundreds at a time."""
+class Words:
+    """Ids of words, as bytes. A new plain word is asked of the tokenizer's model, piece by piece;
+    any other new word of the whole tokenizer."""
+
+    def __init__(self, tokenizer, plain: str | None):
+        self.tokenizer = tokenizer
+        self.plain = re.compile(plain) if plain else None
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.left = PROVED
+
+    def piece(self, text: str) -> bytes:
+        made = self.pieces.get(text)
+        if made is None:
+            made = array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+            if len(self.pieces) < REMEMBERED // 4:
+                self.pieces[text] = made
+        return made
+
+    def of(self, word: bytes) -> bytes:
+        text = word.decode()
+        found = self.plain and self.plain.fullmatch(text)
+        if not found or self.left:
+            made = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if found:
+            pieces = b"".join([self.piece(p.lower()) for p in found.groups() if p])
+            if self.left:
+                # The first plain words of a worker are encoded both ways.
+                self.left -= 1
+                if pieces != made:
+                    raise ValueError(f"the tokenizer does not take plain words piece by piece: {text!r}")
+            made = pieces
+        if len(self.words) < REMEMBERED and len(word) <= WORD_BYTES:
+            self.words[word] = made
+        return made
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.fresh = tokenizer, {}
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        near = Near(self)
+        # bytes.split: at ASCII white space, in runs.
+        return [np.frombuffer(b"".join(map(near.__getitem__, t.split())), dtype=np.uint32) for t in texts]
 
-    def __missing__(self, word: bytes) -> bytes:
-        return self.fresh[word]
 
-    def learn(self, words: list[bytes]) -> None:
-        """One call for all of these; a token belongs to the word in which it begins."""
-        texts = [w.decode() for w in words]
-        made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(made.ids, dtype=np.uint32)
-        begins = np.array([a for a, _ in made.offsets], dtype=np.int64)
-        cut = np.searchsorted(begins, np.cumsum([0] + [len(t) + 1 for t in texts])).tolist()
-        self.fresh.update((w, ids[a:b].tobytes()) for w, a, b in zip(words, cut, cut[1:]))
+class Near(dict):
+    """The words of a few texts: a table small enough to stay in the processor's cache."""
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]  # at ASCII white space, in runs
-        unknown = list(dict.fromkeys(w for words in split for w in words if w not in self))
-        for k in range(0, len(unknown), LEARNED):
-            self.learn(unknown[k : k + LEARNED])
-        out = [np.frombuffer(b"".join(map(self.__getitem__, words)), dtype=np.uint32) for words in split]
-        if len(self) < REMEMBERED:
-            self.update((w, i) for w, i in self.fresh.items() if len(w) <= WORD_BYTES)
-        self.fresh = {}
-        return out
+    def __init__(self, known: Words):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, word: bytes) -> bytes:
+        made = self.known.words.get(word)
+        self[word] = made = self.known.of(word) if made is None else made
+        return made
 
 
 def parts(text: bytes) -> Iterator[bytes]:
@@ -304,10 +330,19 @@ def parts(text: bytes) -> Iterator[bytes]:
     yield text[at:] if at else text
 
 
-def encoder(path: str | None = None, by_words: bool = True) -> Callable[[], Callable[[list[bytes]], list[np.ndarray]]]:
-    """Makes, in a worker, the function from texts in UTF-8 to their ids, from the tokenizer file at `path`.
+class Encoder(NamedTuple):
+    """Makes, in a worker, the function from texts in UTF-8 to their ids. A worker keeps one function for a key."""
+
+    key: str
+    build: Callable[[], Callable[[list[bytes]], list[np.ndarray]]]
+
+
+def encoder(path: str | None = None, by_words: bool = True, plain: str | None = PLAIN) -> Encoder:
+    """The encoder of the tokenizer file at `path`.
 
     The file is read here and travels with the function: executors need no copy of it.
+    `plain` describes words whose groups the tokenizer lower-cases and takes as pieces of
+    their own; each goes to its model without the work before it. None: there are none.
     """
     if path is None:
         import public_tokenizers
@@ -322,7 +357,7 @@ def encoder(path: str | None = None, by_words: bool = True) -> Callable[[], Call
 
         tokenizer = Tokenizer.from_str(saved)
         if by_words:
-            known = Words(tokenizer)
+            known = Words(tokenizer, plain)
 
             def one(text: bytes) -> np.ndarray:
                 return np.concatenate([known.encode([p])[0] for p in parts(text)])
@@ -332,7 +367,7 @@ def encoder(path: str | None = None, by_words: bool = True) -> Callable[[], Call
             np.array(tokenizer.encode(t.decode(), add_special_tokens=False).ids, dtype=np.uint32) for t in texts
         ]
 
-    return build
+    return Encoder(f"{hashlib.sha256(saved.encode()).hexdigest()} {by_words} {plain}", build)
 
 
 def groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
@@ -356,7 +391,7 @@ def groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
 
 def write_ids(
     docs: DataFrame,
-    encode: Callable[[], Callable[[list[bytes]], list[np.ndarray]]] | None = None,
+    encode: Encoder | None = None,
     folder: str | None = None,
     end_id: int = END_ID,
     percentile: float = PERCENTILE,
@@ -368,8 +403,7 @@ def write_ids(
     """
     spark = docs.sparkSession
     folder = folder or f"{work_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    build = encode or encoder()
-    key = f"token_files-{uuid.uuid4().hex}"
+    key, build = encode or encoder()
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text"), F.xxhash64(text).alias("of_text"),
