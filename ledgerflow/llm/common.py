@@ -56,6 +56,14 @@ def replacing(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in columns.items()])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or one made from it, that no column of the frame has (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component) of an undirected graph; component is its smallest node.
 
@@ -135,14 +143,15 @@ def sift(docs: DataFrame, bits: np.ndarray, held: bool = True) -> DataFrame:
             hit = (own[b >> 5] >> (b & 31).astype(np.uint32) & 1).astype(bool) & (b >= 0)
             yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(hit if held else ~hit))
 
-    return docs.withColumn("_sieve_bit", bit).mapInArrow(run, docs.schema)
+    return docs.withColumn(fresh(docs, "_sieve_bit"), bit).mapInArrow(run, docs.schema)
 
 
 def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of `docs` whose doc_id is not among `ids`; only rows that may be are shuffled."""
     bits = sieve(ids)
-    gone = ids.select(F.col("doc_id").cast("long").alias("_gone")).distinct()
+    name = fresh(docs, "_gone")
+    gone = ids.select(F.col("doc_id").cast("long").alias(name)).distinct()
     held = sift(docs, bits)
     return sift(docs, bits, held=False).unionByName(
-        held.join(gone, held["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+        held.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
     )

@@ -206,5 +206,6 @@ def _first_block(a: Column, b: Column) -> Column:
 
 
 def clean(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs` that hold no item."""
+    """The rows of `docs` that hold no item; here an item needs no id."""
+    items = items.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("item_id"), "text")
     return drop_ids(docs, stable(matches(docs, items, shingle, similarity).select("doc_id").distinct()))

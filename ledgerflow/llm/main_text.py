@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerflow.llm.common import fresh
 from ledgerflow.llm.pieces import _schema_with, _with_column
 from ledgerflow.llm.url_filter import host_of
 
@@ -248,13 +249,12 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", to: str = "t
     # Spreads even rows that agree in every column.
     salt = F.xxhash64(F.monotonically_increasing_id())
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        pages.withColumns({"_host": host, "_salt": salt}).repartitionByRange(parts, "_host", "_salt").sortWithinPartitions("_host")
-    )
+    by, spread = fresh(pages, "_host"), fresh(pages, "_salt")
+    placed = pages.withColumns({by: host, spread: salt}).repartitionByRange(parts, by, spread).sortWithinPartitions(by)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts = batch.column(batch.schema.get_field_index("_host")).to_pylist()
+            hosts = batch.column(batch.schema.get_field_index(by)).to_pylist()
             sources = batch.column(batch.schema.get_field_index(html)).to_pylist()
             texts: list[str] = []
             while len(texts) < len(hosts):
@@ -264,4 +264,4 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", to: str = "t
                 texts.extend(extract_group(sources[first:last]))
             yield _with_column(batch, to, pa.array(texts, pa.string()))
 
-    return placed.mapInArrow(run, _schema_with(placed, to, T.StringType())).drop("_host", "_salt")
+    return placed.mapInArrow(run, _schema_with(placed, to, T.StringType())).drop(by, spread)

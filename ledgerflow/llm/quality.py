@@ -155,10 +155,13 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), t
 
 def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
     """The rows with the scores of their texts; no shuffle. The model, about 2 MB, is broadcast."""
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    # Arrays and numbers only: a broadcast class would have to be importable on the executors.
+    settings = tuple(vars(model.settings).items())
+    sent = df.sparkSession.sparkContext.broadcast((model.weight, model.directions, model.vectors, model.labels, settings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        *arrays, settings = sent.value
+        own = Model(*arrays, Settings(**dict(settings)))
         for whole in batches:
             for first in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(first, BLOCK)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import lower_ascii, replacing
+from ledgerflow.llm.common import fresh, lower_ascii, replacing
 
 # Up to this many rules, a few dozen MB, they are sent to every task; more are joined by a shuffle.
 BROADCAST_RULES = 100_000
@@ -86,7 +86,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
     rules = _rules(rules)
     # One row for each shape; bounded by labels times folders of the longest rules.
     shapes = rules.groupBy("_labels", "_depth").count().collect()
-    verdict = {"rule": F.col("_best._rule"), "verdict": F.coalesce("_best._action", F.lit(default))}
+    key, won = fresh(df, "_url"), fresh(df, "_best")
+    verdict = {"rule": F.col(f"{won}._rule"), "verdict": F.coalesce(f"{won}._action", F.lit(default))}
     own = F.col(f"`{url}`")
     if not shapes:
         return replacing(df, host=F.coalesce(host_of(own), F.lit("")), path=F.coalesce(path_of(own), F.lit("")),
@@ -107,13 +108,13 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
         .where((F.col("_full") == F.col("_digest")) & F.col("_path").startswith(F.col("_rule_path")))
     )
     best = found.groupBy("_url").agg(
-        F.max(F.struct(F.length("_rule").alias("n"), F.length("_rule_host").alias("h"), "_rule", "_action")).alias("_best")
+        F.max(F.struct(F.length("_rule").alias("n"), F.length("_rule_host").alias("h"), "_rule", "_action")).alias(won)
     )
-    joined = df.withColumn("_url", own).join(best, "_url", "left")
+    joined = df.withColumn(key, own).join(best.withColumnRenamed("_url", key), key, "left")
     out = replacing(
         joined,
         host=F.coalesce(host_of(own), F.lit("")),
         path=F.coalesce(path_of(own), F.lit("")),
         **verdict,
     )
-    return out.drop("_url", "_best")
+    return out.drop(key, won)

