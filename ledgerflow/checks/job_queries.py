@@ -26,6 +26,7 @@ from ledgerflow.checks.views import EVENT_NOW, ORDER_NOW, day_text, table, text,
 from ledgerflow.config import JobConfig
 from ledgerflow.functions import name_key
 from ledgerflow.operators.conform import conform, existing
+from ledgerflow.operators.filters import rejected
 
 from ledgerflow.operators.validate import amount_rules, date_rules, validate
 from ledgerflow.plans.dispute import nonseed_disputes, seed_disputes
@@ -42,8 +43,10 @@ from ledgerflow.plans.review import (
     prov_job,
     ticket_job,
 )
-from ledgerflow.plans.run import error_return, review_folder
+from ledgerflow.plans.run import error_return, review_folder, run_folder
 from ledgerflow.plans.transitions import direct_actions, transition
+from ledgerflow.sources.rowset import OTHER_VALUES
+from ledgerflow.sources.sinks import error_records
 
 CONFIG = JobConfig(note_day_limit=200, prov_note_days=14, lv_note_days=14)
 
@@ -961,9 +964,7 @@ def q_ticket_job(spark, sf):
     return _logged(ticket_job(review_sub(spark, sf, "Ticket Opened"), tables, EVENT_NOW))
 
 
-@check(
-    "map_job",
-    """
+MAPPED_SQL = """
 WITH p AS (
   SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN 'PCI' ELSE 'BMI' END AS tbl,
          CASE WHEN p_size % 2 = 0 THEN 'LL' ELSE 'BRD' END AS kind,
@@ -983,7 +984,15 @@ e AS (
                    'BMB table is already mapped to ' || i.kind || ' ' || i.item END AS err
   FROM i LEFT JOIN ll ON ll.kind = i.kind AND ll.item = i.item
   LEFT JOIN br ON i.bmb = 1 AND i.kind = 'BRD' AND br.id = i.id AND br.item = i.item),
-f AS (SELECT id, ARG_MIN(err, item) AS sibling FROM e WHERE err IS NOT NULL GROUP BY id)
+f AS (SELECT id, ARG_MIN(err, item) AS sibling FROM e WHERE err IS NOT NULL GROUP BY id),
+g AS (SELECT e.* FROM e LEFT JOIN f ON f.id = e.id WHERE f.id IS NULL)
+"""
+
+
+@check(
+    "map_job",
+    f"""
+{MAPPED_SQL}
 SELECT e.id, e.item, e.bmb, COALESCE(e.err, f.sibling) AS error_message
 FROM e LEFT JOIN f ON f.id = e.id""",
 )
@@ -1012,6 +1021,137 @@ def _mapped(spark, sf):
     return map_job(sub, base_tables(spark, sf) | map_tables(spark, sf), EVENT_NOW)
 
 
+@check(
+    "map_bridges",
+    f"""
+{MAPPED_SQL}
+SELECT CASE WHEN tbl = 'BMI' THEN 'bmb' ELSE 'pci_bmb' END AS bridge, id, kind AS srv_type, item AS srv_id, 'S1' AS rep
+FROM g WHERE bmb = 1""",
+)
+def map_bridges(spark, sf):
+    """The bridge rows of sources that are mapped to several services."""
+    appends = _mapped(spark, sf).appends
+    frames = [
+        appends[name].select(
+            F.lit(name).alias("bridge"), F.col(key).alias("id"), F.col("gs_SrvType").alias("srv_type"),
+            F.col("gs_SrvID").alias("srv_id"), F.col("Rep").alias("rep"),
+        )
+        for name, key in (("bmb", "BMI_ID"), ("pci_bmb", "PCI_ID"))
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+def _written_back(target: str, source: str, bridge: str, rep: str) -> str:
+    return f"""
+SELECT '{target}' AS target, p_partkey AS id,
+       CASE WHEN k.id IS NULL THEN p_brand WHEN k.bmb = 1 THEN CAST(k.id AS VARCHAR) ELSE k.item END AS srv_id,
+       CASE WHEN k.id IS NULL THEN p_type WHEN k.bmb = 1 THEN '{bridge}' ELSE k.kind END AS srv_type,
+       CASE WHEN k.id IS NOT NULL THEN {rep} END AS rep
+FROM part LEFT JOIN k ON k.id = p_partkey AND k.tbl = '{source}'"""
+
+
+@check(
+    "map_write_back",
+    f"""
+{MAPPED_SQL},
+k AS (SELECT id, tbl, kind, MAX(bmb) AS bmb, MIN(item) AS item FROM g GROUP BY id, tbl, kind)
+{_written_back("bmm", "BMI", "BMB", "'S1'")}
+UNION ALL
+{_written_back("pci", "PCI", "M2M", "CAST(NULL AS VARCHAR)")}""",
+)
+def map_write_back(spark, sf):
+    """Both inventories after the mapping; one with several services points to its bridge."""
+    snapshots = _mapped(spark, sf).snapshots
+    frames = [
+        snapshots[name].select(
+            F.lit(name).alias("target"), F.col(key).alias("id"), F.col("gs_SrvID").alias("srv_id"),
+            F.col("gs_SrvType").alias("srv_type"), F.col("frameID").cast("string").alias("rep"),
+        )
+        for name, key in (("bmm", "BMI_ID"), ("pci", "ID"))
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+@check(
+    "map_log",
+    f"""
+{MAPPED_SQL}
+SELECT DISTINCT CASE WHEN tbl = 'BMI' THEN 'unmapped' ELSE 'pci_unmapped' END AS log, id, 'Mapped' AS audit_result,
+       'S1' AS rep FROM g""",
+)
+def map_log(spark, sf):
+    """One log row for each mapped source."""
+    appends = _mapped(spark, sf).appends
+    frames = [
+        appends[name].select(
+            F.lit(name).alias("log"), F.col(key).alias("id"), F.col("Audit_Result").alias("audit_result"),
+            F.col("Rep").alias("rep"),
+        )
+        for name, key in (("unmapped", "BMI_ID"), ("pci_unmapped", "PCI_ID"))
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+@check(
+    "lv_attachments",
+    queue_sql(
+        "o_orderkey % 5 = 0 OR o_orderkey % 7 = 0",
+        "This Source_TBL and Source_ID is already pending in Send to LV table",
+        """
+SELECT 'queue', CAST(r1.source_id AS BIGINT), COALESCE(pick.disputer, r1.full_name),
+       CASE WHEN o.o_orderkey % 6 = 0 THEN r1.source_tbl || '_' || r1.source_id || '_b.pdf'
+            WHEN o.o_orderkey % 3 = 0 THEN r1.source_tbl || '_' || r1.source_id || '.pdf' END, CAST(NULL AS VARCHAR)
+FROM r1 LEFT JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = r1.source_id
+  AND r1.source_tbl = CASE WHEN o.o_orderkey % 4 = 0 THEN 'PCI' ELSE 'BMI' END
+LEFT JOIN pick ON pick.source_tbl = r1.source_tbl AND pick.source_id = r1.source_id
+WHERE r1.err1 IS NULL""",
+    ),
+    ("v_rev", "v_current"),
+)
+def lv_attachments(spark, sf):
+    """Line verification through the folder, with the newest attachment of a kept listing."""
+    key = F.col("o_orderkey")
+    source = F.when(key % 4 == 0, "PCI").otherwise("BMI")
+    day = F.col("o_orderdate").cast("timestamp")
+    orders = table(spark, sf, "orders").filter(key % 3 == 0)
+    listed = [
+        part.select(
+            source.alias("Source_TBL"), text(key).alias("Source_ID"),
+            F.concat(source, F.lit("_"), text(key), F.lit(end)).alias("File_Name"),
+            (day + F.expr(f"INTERVAL {days} DAYS")).alias("Modified"),
+        )
+        for part, end, days in ((orders, ".pdf", 0), (orders.filter(key % 6 == 0), "_b.pdf", 1))
+    ]
+    tables = base_tables(spark, sf) | queue_tables(spark, sf) | {"attachments": listed[0].unionByName(listed[1])}
+    result = run_folder("01_BMI-PCI", review_sub(spark, sf, "Send to LV"), tables, EVENT_NOW, CONFIG)
+    return _queued(result, "queue_lv", "Assigned_To", "CSR_File_Name")
+
+
+@check(
+    "error_records",
+    """
+WITH e AS (
+  SELECT *, CASE WHEN bad_number THEN 'amount_txt is not numeric' ELSE 'amount_txt is <= 0' END AS message
+  FROM v_num WHERE bad_number OR bad_sign)
+SELECT e.line_id, u.name, u.value
+FROM e CROSS JOIN LATERAL (VALUES ('line_id', CAST(e.line_id AS VARCHAR)), ('action', e.action),
+  ('source_tbl', e.source_tbl), ('source_id', e.source_id), ('dsb_id', CAST(e.dsb_id AS VARCHAR)),
+  ('amount_txt', e.amount_txt), ('date_txt', e.date_txt), ('Error_Columns', 'amount_txt'),
+  ('Error_Message', e.message), ('Comp_Serial', CAST(e.comp_serial AS VARCHAR)), ('Odd Reason', e.reason)
+) AS u(name, value) WHERE u.value IS NOT NULL AND u.value <> ''""",
+    ("v_num",),
+)
+def q_error_records(spark, sf):
+    """Rejected rows as named values, those of an attribute that no job lists included."""
+    judged = validate(conform(v_sub(spark, sf), []), amount_rules("amount_txt"))
+    other = F.to_json(F.struct(F.col("reason").alias("Odd Reason"))).alias(OTHER_VALUES)
+    rows = rejected(judged).withColumnRenamed("comp_serial", "Comp_Serial").select("*", other).drop("reason")
+    records = error_records(rows).select(F.explode("var").alias("v"), F.get(F.filter("var", lambda v: v["_var_name"] == "line_id"), 0)["_VALUE"].alias("line"))
+    return records.select(
+        F.col("line").cast("bigint").alias("line_id"), F.col("v._var_name").alias("name"), F.col("v._VALUE").alias("value")
+    )
+
+
 @check(
     "error_return",
     """

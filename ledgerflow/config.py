@@ -51,6 +51,8 @@ class JobConfig:
     lv_note_days: int = 14
     # Folder of the files that line verification takes along; none are looked up without it.
     attachment_folder: str | None = None
+    # Days for which a copy of a served row is refused; copies are served without it.
+    copy_days: int | None = None
 
 
 def session(app_name: str = "ledgerflow", master: str | None = None, **conf: str) -> SparkSession:

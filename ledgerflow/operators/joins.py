@@ -64,6 +64,22 @@ def _aligned(
     return left, right
 
 
+# Set on the key columns of a table that is kept in buckets of them: the names of all of them.
+BUCKETED = "ledgerflow.bucketed_by"
+
+
+def bucketed(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """The frame of a table that lies in buckets of unique keys, marked as such."""
+    names = sorted(k.lower() for k in keys)
+    return df.withColumns({k: F.col(k).alias(k, metadata={BUCKETED: names}) for k in keys})
+
+
+def _lies_in_buckets(ref: DataFrame, keys: Iterable[str]) -> bool:
+    names = sorted(k.lower() for k in keys)
+    fields = {f.name.lower(): f.metadata for f in ref.schema.fields}
+    return all(fields.get(k, {}).get(BUCKETED) == names for k in names)
+
+
 def narrow(ref: DataFrame, df: DataFrame, keys: Keys) -> DataFrame:
     """The part of a large reference table that a batch can touch.
 
@@ -71,10 +87,16 @@ def narrow(ref: DataFrame, df: DataFrame, keys: Keys) -> DataFrame:
     the scan, a large one is met by a shuffle of the table by key and hash, which
     can be split where a key is hot. The keys are made distinct first, map-side, so
     a key that fills a third of the batch travels once per task.
+
+    A table in buckets of these keys (`bucketed`) is met where it lies: only the
+    batch's keys are shuffled. Its keys are unique and the batch's are distinct, so no
+    bucket is hot. `lookup` then shuffles the part, which is no larger than the batch.
     """
     pairs = key_map(keys)
     wanted = df.select(*[F.col(a).alias(f"_k_{b}") for a, b in pairs.items()]).distinct()
     left, right = _aligned(ref, wanted, {b: f"_k_{b}" for b in pairs.values()})
+    if _lies_in_buckets(ref, pairs.values()):
+        return ref.join(wanted, [a == b for a, b in zip(left, right)], "left_semi")
     wanted = wanted.withColumns(
         {f"_q_{i}": c for i, c in enumerate(right)} | {"_h": F.xxhash64(*right)}
     )
@@ -92,9 +114,11 @@ def lookup(
 ) -> DataFrame:
     """Left join a reference with one row per key; columns are new name -> reference name.
 
-    Set `own_shuffle` where `ref` was grouped or ranked by the same keys.
+    Set `own_shuffle` where `ref` was grouped or ranked by the same keys; a part of a table
+    in buckets of them gets it anyway, so that a hot key of `df` can be split.
     """
     pairs = key_map(keys)
+    own_shuffle = own_shuffle or _lies_in_buckets(ref, pairs.values())
     right = ref.select(
         *[F.col(b).alias(f"_k_{b}") for b in pairs.values()],
         *[F.col(source).alias(name) for name, source in columns.items()],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.config import JobConfig
@@ -26,6 +26,9 @@ from ledgerflow.plans.tables import JobResult, Tables
 from ledgerflow.plans.transitions import ACTION_COLUMNS, direct_actions
 from ledgerflow.sources.attachments import scan_attachments
 
+# The table of attachments that a stream keeps.
+ATTACHMENTS = "attachments"
+
 # Actions whose jobs read the job settings and give out keys.
 CONFIGURED = (
     "Dispute Note",
@@ -44,6 +47,13 @@ def advance(tables: Tables, result: JobResult) -> dict[str, DataFrame]:
     return layers.tables()
 
 
+def attachments(spark: SparkSession, tables: Tables, config: JobConfig) -> DataFrame | None:
+    """The listing that comes with the tables, else one made now if a folder is set."""
+    if ATTACHMENTS in tables:
+        return tables[ATTACHMENTS]
+    return scan_attachments(spark, config.attachment_folder) if config.attachment_folder else None
+
+
 def review_folder(
     sub: DataFrame,
     tables: Tables,
@@ -70,8 +80,8 @@ def review_folder(
             extra["cost_types"] = config.cost_types
         if extra:
             extra["starts"] = layers.counters
-        if action == "Send to LV" and config.attachment_folder:
-            extra["files"] = scan_attachments(sub.sparkSession, config.attachment_folder)
+        if action == "Send to LV":
+            extra["files"] = attachments(sub.sparkSession, tables, config)
         result = job(part, layers.tables(), as_of, **extra)
         outcomes.append(result.results)
         layers.push(result)

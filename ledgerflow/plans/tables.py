@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.operators.joins import bucketed
 from ledgerflow.operators.keys import next_id
 
 Tables = Mapping[str, DataFrame]
@@ -93,3 +94,35 @@ class JobResult:
 def load_tables(spark: SparkSession, root: str, names: tuple[str, ...] = TABLE_NAMES) -> Tables:
     """Business tables kept as parquet folders below one root."""
     return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+
+
+# The unique keys by which jobs look up the large tables.
+BUCKET_KEYS = {
+    "dispute_current": ("DSB_ID",),
+    "dispute_history": ("DH_ID",),
+    "mrc": ("BDT_MRC_ID",),
+    "occ": ("BDT_OCC_ID",),
+    "tas": ("BDT_TAS_ID",),
+    "usage": ("BDT_USAGE_ID",),
+    "adj": ("BDT_PAD_ID",),
+    "lpc": ("BDT_INVOICE_ID",),
+    "paper_cost": ("Seed",),
+    "bmi": ("BMI_ID",),
+}
+
+
+def save_bucketed(tables: Tables, buckets: int, prefix: str = "") -> None:
+    """Write the large tables into the catalog, in sorted buckets of their keys.
+
+    A batch then meets them without moving them (`narrow`). The number of buckets is
+    that of the tasks that a whole table should have.
+    """
+    for name, keys in BUCKET_KEYS.items():
+        if name in tables:
+            rows = tables[name].repartition(buckets, *keys)
+            rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(prefix + name)
+
+
+def load_bucketed(spark: SparkSession, prefix: str = "", names: Iterable[str] = tuple(BUCKET_KEYS)) -> dict[str, DataFrame]:
+    """The tables of `save_bucketed`, marked for what they are."""
+    return {name: bucketed(spark.table(prefix + name), BUCKET_KEYS[name]) for name in names}

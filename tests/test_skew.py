@@ -109,3 +109,49 @@ def test_first_per_cuts_groups_before_the_shuffle(spark, skewed):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert one.count() == ref_of(skewed).count()
+
+
+def above(plan: str, leaf: str) -> list[list[str]]:
+    """For each scan of the table, the operators above it, from the scan up."""
+    lines, found = plan.splitlines(), []
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    for i, line in enumerate(lines):
+        if leaf in line and "Scan" in line:
+            chain, at = [], depth[i]
+            for j in range(i - 1, -1, -1):
+                if depth[j] < at:
+                    chain.append(lines[j].strip(" :+-*()0123456789"))
+                    at = depth[j]
+            found.append(chain)
+    return found
+
+
+@pytest.fixture
+def kept(spark, skewed):
+    """A state table in buckets of its key, next to a batch of which a third names one key."""
+    from ledgerflow.plans.tables import load_bucketed, save_bucketed
+
+    state = spark.range(-1, 200_000).select(F.col("id").alias("DSB_ID"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    save_bucketed({"dispute_current": state}, 6, "skew_")
+    yield load_bucketed(spark, "skew_", ["dispute_current"])["dispute_current"]
+    spark.sql("DROP TABLE skew_dispute_current")
+
+
+def test_table_in_buckets_is_not_moved(spark, skewed, kept):
+    batch = skewed.withColumn("DSB_ID", F.col("k").cast("string"))  # a file's keys are text
+    part = narrow(kept, batch, ["DSB_ID"])
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    (chain,) = above(plan, "skew_dispute_current")
+    joins = [i for i, op in enumerate(chain) if "Join" in op]
+    assert joins and not any(op.startswith("Exchange") for op in chain[: joins[0]])
+    # The same table without buckets is shuffled.
+    plain = narrow(kept.select(F.col("DSB_ID").alias("DSB_ID", metadata={}), "v"), batch, ["DSB_ID"])
+    (chain,) = above(plain._jdf.queryExecution().executedPlan().toString(), "skew_dispute_current")
+    assert any(op.startswith("Exchange") for op in chain)
+    assert part.count() == plain.count() == 133_334
+
+
+def test_hot_key_that_meets_a_bucket_is_split(spark, skewed, kept):
+    batch = skewed.withColumnRenamed("k", "DSB_ID")
+    rows, split = is_split(spark, lookup(batch, narrow(kept, batch, ["DSB_ID"]), ["DSB_ID"], {"v": "v"}, "_has"))
+    assert rows == 200_000 and split
