@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import fresh, lower_ascii, replacing
 
-# Up to this many rules, a few dozen MB, they are sent to every task; more are joined by a shuffle.
-BROADCAST_RULES = 100_000
 PREFIX_DIGITS = 8
 
 
@@ -93,8 +91,6 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
         return replacing(df, host=F.coalesce(host_of(own), F.lit("")), path=F.coalesce(path_of(own), F.lit("")),
                          rule=F.lit(None).cast("string"), verdict=F.lit(default))
     near = rules.drop("_labels", "_depth")
-    if sum(r["count"] for r in shapes) <= BROADCAST_RULES:
-        near = F.broadcast(near)
     asked = (
         df.select(own.alias("_url")).where(F.col("_url").isNotNull()).distinct()
         .select("_url", host_of(F.col("_url")).alias("_host"), path_of(F.col("_url")).alias("_path"))
@@ -110,11 +106,14 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
     best = found.groupBy("_url").agg(
         F.max(F.struct(F.length("_rule").alias("n"), F.length("_rule_host").alias("h"), "_rule", "_action")).alias(won)
     )
-    joined = df.withColumn(key, own).join(best.withColumnRenamed("_url", key), key, "left")
+    # On the URL and its hash: so the verdicts get a shuffle of their own, and the rows can be split.
+    mark = fresh(df, "_mark")
+    judged = best.withColumnRenamed("_url", key).withColumn(mark, F.xxhash64(key))
+    joined = df.join(judged, (own == F.col(key)) & (F.xxhash64(own) == F.col(mark)), "left")
     out = replacing(
         joined,
         host=F.coalesce(host_of(own), F.lit("")),
         path=F.coalesce(path_of(own), F.lit("")),
         **verdict,
     )
-    return out.drop(key, won)
+    return out.drop(key, won, mark)

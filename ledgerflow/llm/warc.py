@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import stable, work_dir
+from ledgerflow.llm.ngram_join import slices
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 1 << 30  # an archive that has grown past it is closed
@@ -91,20 +92,25 @@ def _page(name: str) -> int | None:
     return int(text) if text else None
 
 
-def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Archives of `pages` (page_id, url, html) in `folder`, and their index (one row per record)."""
-    spark = pages.sparkSession
-    folder = folder or f"{work_dir(spark)}/warc-{uuid.uuid4().hex}"
+def decide(pages: DataFrame) -> DataFrame:
+    """The records, packed, and the page that each of them revisits.
+
+    The first pages of equal payloads join back on digest and hash: so they get a shuffle
+    of their own, and the rows of a payload that fills much of the table can be split.
+    """
     c = F.col
     payload = F.coalesce(c("html"), F.lit(""))
     facts = pages.select(
         c("page_id").cast("long").alias("page_id"), "url", payload.alias("html"), F.sha2(payload, 256).alias("digest"),
         F.octet_length(payload).cast("long").alias("size"),
     )
-    first = facts.where(c("size") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"))
+    first = (
+        facts.where(c("size") >= REVISIT_BYTES).groupBy(c("digest").alias("of")).agg(F.min("page_id").alias("first"))
+        .withColumn("mark", F.xxhash64("of"))
+    )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 64):
             ids, urls, html, digests, sizes = (batch.column(i).to_pylist() for i in range(5))
             made = [record(i, u, d, n, h.encode()) for i, u, h, d, n in zip(ids, urls, html, digests, sizes)]
             yield pa.RecordBatch.from_arrays(
@@ -113,11 +119,17 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
             )
 
     packed = facts.mapInArrow(pack, "page_id long, url string, member binary, digest string, size long")
-    decided = packed.join(first, "digest", "left").select(
+    same = (c("digest") == c("of")) & (F.xxhash64("digest") == c("mark"))
+    return packed.join(first, same, "left").select(
         "page_id", "url", "member", "digest", "size",
         F.when(c("first").isNotNull() & (c("size") >= REVISIT_BYTES) & ~c("page_id").eqNullSafe(c("first")), c("first")).alias("refers_to"),
     )
 
+
+def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
+    """Archives of `pages` (page_id, url, html) in `folder`, and their index (one row per record)."""
+    folder = folder or f"{work_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, rows, name, at = None, [], "", 0
         system = None
@@ -152,7 +164,7 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
         if rows:
             yield table()
 
-    return stable(decided.mapInArrow(write, INDEX))
+    return stable(decide(pages).mapInArrow(write, INDEX))
 
 
 def ranges(rows: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, list[int]]]:
