@@ -1064,7 +1064,7 @@ def q_apply_updates(spark, sf):
     )
     target = v_current(spark, sf).select("dsb_id", "status", "display_status", "dispute_amount")
     return apply_updates(
-        target, changes, ["dsb_id"], ["status", "display_status", "dispute_amount"]
+        target, changes, ["dsb_id"], ["status", "display_status", "dispute_amount"], unique=True
     )
 
 
