@@ -16,6 +16,8 @@ side, and the large side can be split.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,11 +113,14 @@ def lookup(
     columns: Mapping[str, str],
     marker: str | None = None,
     own_shuffle: bool = False,
+    spread: str | None = None,
 ) -> DataFrame:
     """Left join a reference with one row per key; columns are new name -> reference name.
 
     Set `own_shuffle` where `ref` was grouped or ranked by the same keys; a part of a table
-    in buckets of them gets it anyway, so that a hot key of `df` can be split.
+    in buckets of them gets it anyway, so that a hot key of `df` can be split. `spread` names
+    a column that tells rows apart: rows without a key, which meet nothing, are dealt out by
+    it instead of filling one partition.
     """
     pairs = key_map(keys)
     own_shuffle = own_shuffle or _lies_in_buckets(ref, pairs.values())
@@ -127,9 +132,13 @@ def lookup(
     mine, theirs = _aligned(df, right, {a: f"_k_{b}" for a, b in pairs.items()})
     condition = [a == b for a, b in zip(mine, theirs)]
     dropped = [f"_k_{b}" for b in pairs.values()]
-    if own_shuffle:
+    if own_shuffle or spread:
         right = right.withColumn("_h", F.xxhash64(*theirs))
-        condition.append(F.xxhash64(*mine) == F.col("_h"))
+        mixed = F.xxhash64(*mine)
+        if spread:
+            absent = reduce(or_, [c.isNull() for c in mine])
+            mixed = F.when(absent, F.xxhash64(spread)).otherwise(mixed)
+        condition.append(mixed == F.col("_h"))
         dropped.append("_h")
     joined = df.join(right, condition, "left").drop(*dropped)
     return joined.withColumn(marker, F.coalesce(marker, F.lit(False))) if marker else joined

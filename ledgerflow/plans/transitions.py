@@ -357,31 +357,38 @@ def judge(
     """Each action next to its submitter, its dispute and the prior version, with errors set.
 
     The large tables are cut to the named keys by semi joins before they are
-    looked up, and all rules of all actions are one expression.
+    looked up, and all rules of all actions are one expression. A dispute meets its
+    prior version before the actions meet the dispute: actions without a dispute, or
+    most of a batch, would else meet in one task, as they have no DH_ID.
     """
     current = tables["dispute_current"]
     keyed = actions.withColumn("DSB_ID", F.col("DSB_ID").cast("string").try_cast("bigint"))
     staffed = with_employee(keyed, tables["employee"])
     known = narrow(current, keyed, ["DSB_ID"])
     part = prefixed(known.select(*_present(known, _current_columns(specs))), "cur_")
-    joined = lookup(
-        staffed,
-        part,
-        {"DSB_ID": "cur_DSB_ID"},
-        {c: c for c in part.columns if c != "cur_DSB_ID"},
-        "_has_current",
-    )
-    if any(s.prior for s in specs.values()):
+    with_prior = any(s.prior for s in specs.values())
+    if with_prior:
         wanted = dict.fromkeys(c for s in specs.values() if s.prior for c in s.carried)
         prior = narrow(tables["dispute_history"], known, ["DH_ID"])
         prior = prior.select("DH_ID", *_present(prior, wanted))
-        joined = lookup(
-            joined,
+        part = lookup(
+            part,
             prior,
             {"cur_DH_ID": "DH_ID"},
             {f"old_{c}": c for c in prior.columns if c != "DH_ID"},
             "_has_prior",
+            spread="cur_DSB_ID",
         )
+    joined = lookup(
+        staffed,
+        part,
+        {"DSB_ID": "cur_DSB_ID"},
+        {c: c for c in part.columns if c != "cur_DSB_ID"},
+        "_has_current",
+        spread="Line_ID",
+    )
+    if with_prior:
+        joined = joined.withColumn("_has_prior", F.coalesce("_has_prior", F.lit(False)))
     rules = [
         rule.when(F.col("Action") == action)
         for action, spec in specs.items()
@@ -429,25 +436,28 @@ def transition(
     config: JobConfig = JobConfig(),
     starts: Mapping[str, int] | None = None,
     distinct: bool = False,
+    repeated: str | None = None,
 ) -> Transition:
     """Apply actions to disputes; every DSB_ID has one action of each name at most.
 
     `actions` has Line_ID, Action and the action columns. All actions are judged
     and written in one pass over the touched disputes, and one numbering pass
     serves history and notes. `distinct` says that no action is given twice for a
-    dispute; otherwise later ones are flagged. Where a dispute has several actions
-    in one batch use `direct_actions`, which orders them.
+    dispute; otherwise later ones are flagged. `repeated` names a column that tells
+    which rows may be such; only they are moved to be compared. Where a dispute has
+    several actions in one batch use `direct_actions`, which orders them.
     """
     specs = {name: SPECS[name] for name in names}
     judged = stable(judge(conform(actions, ACTION_COLUMNS), tables, specs, as_of, config))
     if not distinct:
-        judged = flag_repeats(
-            judged,
+        flagged = flag_repeats(
+            judged.filter(repeated) if repeated else judged,
             ["DSB_ID", "Action"],
             "Line_ID",
             "DSB_ID",
             "DSB_ID was already given for this action",
         )
+        judged = judged.filter(~F.col(repeated)).unionByName(flagged) if repeated else flagged
     notes = [n for n, s in specs.items() if s.status is None]
     is_note = F.col("Action").isin(notes) if notes else F.lit(False)
     todo = clean(judged).filter(F.col("Action").isin(list(specs)))
@@ -578,12 +588,17 @@ def direct_actions(
     # Turns go by the number, as `7` and `07` are one dispute.
     number = F.col("DSB_ID").cast("string").try_cast("bigint")
     rows = rows.withColumns({"_place": place.cast("int"), "_dsb": number})
-    places = clean(rows).groupBy("_dsb").agg(F.sort_array(F.collect_set("_place")).alias("_all"))
+    places = clean(rows).groupBy("_dsb").agg(
+        F.sort_array(F.collect_set("_place")).alias("_all"), F.count("*").alias("_rows")
+    )
     turn = F.array_position("_all", F.col("_place")).cast("int")
-    turned = lookup(rows, places, ["_dsb"], {"_all": "_all"}, own_shuffle=True).withColumn(
-        "_turn", F.greatest(F.lit(1), turn)
+    found = lookup(
+        rows, places, ["_dsb"], {"_all": "_all", "_rows": "_rows"}, own_shuffle=True, spread="Line_ID"
     )
-    rows = stable(turned.drop("_all", "_place", "_dsb"))
+    # More clean rows than actions: one of them is given twice.
+    again = F.coalesce(F.col("_rows") > F.size("_all"), F.lit(False))
+    turned = found.withColumns({"_turn": F.greatest(F.lit(1), turn), "_again": again})
+    rows = stable(turned.drop("_all", "_rows", "_place", "_dsb"))
     turns = rows.agg(F.max("_turn")).first()[0] or 1
 
     counters = first_free(tables, ("DH_ID", "DN_ID"), starts)
@@ -591,7 +606,7 @@ def direct_actions(
     done: list[Transition] = []
     for turn in range(1, turns + 1):
         step = transition(
-            rows.filter(F.col("_turn") == turn), work, as_of, allowed, config, counters
+            rows.filter(F.col("_turn") == turn), work, as_of, allowed, config, counters, repeated="_again"
         )
         # A dispute has one action in a turn.
         step.unique = True

@@ -3,10 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerflow.config import JobConfig
+from ledgerflow.operators.conform import conform
 from ledgerflow.operators.joins import lookup, mark_existing, narrow
 from ledgerflow.operators.relational import first_per
 from ledgerflow.operators.updates import apply_updates
 from ledgerflow.operators.validate import flag_repeats, must_exist, propagate_error
+from ledgerflow.plans import transitions
+from ledgerflow.plans.transitions import ACTION_COLUMNS, SPECS, direct_actions, judge
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -155,3 +159,61 @@ def test_hot_key_that_meets_a_bucket_is_split(spark, skewed, kept):
     batch = skewed.withColumnRenamed("k", "DSB_ID")
     rows, split = is_split(spark, lookup(batch, narrow(kept, batch, ["DSB_ID"]), ["DSB_ID"], {"v": "v"}, "_has"))
     assert rows == 200_000 and split
+
+
+def in_one_partition(df):
+    """The greatest share of the rows that one partition holds."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def test_rows_without_a_key_are_dealt_out(spark, skewed):
+    rows = skewed.withColumn("k", F.when(F.col("id") % 3 == 0, F.col("id")))
+    ref = spark.range(200_000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    got = lookup(rows, ref, ["k"], {"v": "v"}, "hit", spread="id").localCheckpoint()
+    assert got.filter("hit <> (k IS NOT NULL) OR v <> k").count() == 0 and got.count() == 200_000
+
+
+def test_actions_without_a_dispute_do_not_meet_in_one_task(spark, skewed):
+    """None of the actions has a prior version to be looked up by; they stay apart all the same."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        act = spark.range(2000).select(F.col("id").alias("Line_ID"), F.lit("Close").alias("Action"), F.col("id").cast("string").alias("DSB_ID"), F.lit("S1").alias("Comp_Serial"))
+        tables = {
+            "employee": spark.createDataFrame([("S1", "One", "O")], "Comp_Serial string, Full_Name string, Initials string"),
+            "dispute_current": spark.createDataFrame([(7, 70, "Email"), (8, None, "Email"), (9, 90, "Email")], "DSB_ID bigint, DH_ID bigint, Dispute_Type string"),
+            "dispute_history": spark.createDataFrame([(70, 7)], "DH_ID bigint, DSB_ID bigint"),
+        }
+        got = judge(conform(act, ACTION_COLUMNS), tables, {"Close": SPECS["Close"]}, "2024-01-31 12:00:00", JobConfig())
+        assert in_one_partition(got) < 0.5
+        errors = {r["Line_ID"]: r["Error_Message"] for r in got.filter("Line_ID < 10").collect()}
+        prior = "DSB_ID has no prior version in Dispute History"
+        assert errors == dict.fromkeys(range(7), "DSB_ID does not exist in Dispute Current") | {7: None, 8: prior, 9: prior}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_only_repeated_actions_are_compared(spark, monkeypatch):
+    """Of the rows of a file those whose dispute and action come twice are moved to be compared, others are not."""
+    seen = []
+
+    def counted(df, *args):
+        seen.append(df.count())
+        return flag_repeats(df, *args)
+
+    monkeypatch.setattr(transitions, "flag_repeats", counted)
+    act = spark.createDataFrame(
+        [(i, a, d, "S1") for i, (a, d) in enumerate([("Close", "1"), ("Escalate", "2"), ("Close", "3"), ("Close", "03"), ("Escalate", "3"), ("Close", None), ("Close", "x")])],
+        "Line_ID bigint, Action string, DSB_ID string, Comp_Serial string",
+    )
+    tables = {
+        "employee": spark.createDataFrame([("S1", "One", "O")], "Comp_Serial string, Full_Name string, Initials string"),
+        "dispute_current": spark.createDataFrame([(i, i * 10, "Email", "Open", "Filed", 0) for i in (1, 2, 3)], "DSB_ID bigint, DH_ID bigint, Dispute_Type string, Status string, Display_Status string, `#_Of_Escalations` int"),
+        "dispute_history": spark.createDataFrame([(i * 10, i) for i in (1, 2, 3)], "DH_ID bigint, DSB_ID bigint"),
+        "dispute_notes": spark.createDataFrame([], "DN_ID bigint, DSB_ID bigint"),
+    }
+    result = direct_actions(act, tables, "2024-01-31 12:00:00")
+    errors = {r["Line_ID"]: r["Error_Message"] for r in result.results.collect()}
+    unknown = "DSB_ID does not exist in Dispute Current"
+    assert errors == {0: None, 1: None, 2: None, 3: "DSB_ID was already given for this action", 4: None, 5: unknown, 6: unknown}
+    assert seen == [1, 2]
