@@ -566,3 +566,24 @@ def test_main_text_edges(spark):
 
 def test_date_is_fixed():
     assert dt.datetime.fromisoformat(warc.DATE)
+
+
+def test_other_holders_of_its_seeds_do_not_hide_an_edited_passage(spark):
+    """Every run that the passage shares with its edited copy stands alone in earlier and in later documents."""
+    rng = random.Random(17)
+    passage = prose(rng, 60).split()
+    edited = [f"new{i}" if i % 10 == 9 else w for i, w in enumerate(passage)]
+    runs = [" ".join(passage[i : i + 9]) for i in range(0, 60, 10)]
+    alone = lambda start: [(start + i, f"{prose(rng, 40)} {r} {prose(rng, 40)}") for i, r in enumerate(runs)]
+    rows = [*alone(0), (100, f"{prose(rng, 40)} {' '.join(passage)} {prose(rng, 40)}"), (101, f"{prose(rng, 40)} {' '.join(edited)} {prose(rng, 40)}"), *alone(200)]
+    got = passages.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [(r["doc_a"], r["doc_b"]) for r in got] == [(100, 101)] and got[0]["n_words"] >= 50
+
+
+def test_surroundings_are_told_apart():
+    s, rng = passages.Settings(), np.random.default_rng(19)
+    a = rng.integers(-(2**62), 2**62, 400)
+    b = np.concatenate((rng.integers(-(2**62), 2**62, 33), a[100:300], a[:7]))
+    at = np.array([0, 30, 80, 120, 195])
+    same = passages.near_of(a, at + 100, s) == passages.near_of(b, at + 33, s)
+    assert same.tolist() == [False, False, True, True, False]
