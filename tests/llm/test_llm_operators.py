@@ -5,6 +5,7 @@ import gzip
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -587,3 +588,25 @@ def test_surroundings_are_told_apart():
     at = np.array([0, 30, 80, 120, 195])
     same = passages.near_of(a, at + 100, s) == passages.near_of(b, at + 33, s)
     assert same.tolist() == [False, False, True, True, False]
+
+
+def test_words_and_sets_go_to_python_in_small_batches(spark, corpus, monkeypatch):
+    before, seen = spark.conf.get(common.ARROW_ROWS), []
+    written = ngram_join.stable
+
+    def spy(df):
+        seen.append(int(spark.conf.get(common.ARROW_ROWS)))
+        return written(df)
+
+    monkeypatch.setattr(ngram_join, "stable", spy)
+    df = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    ngram_join.link_components(df).count()
+    assert seen and max(seen) <= 512 and spark.conf.get(common.ARROW_ROWS) == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    with common.small_batches(spark):
+        most = spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0]
+    assert most <= 512
