@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,15 +43,29 @@ def _cost(rule: str, seed: str, carry: bool) -> list[Column]:
     return columns
 
 
+def _aside(sub: DataFrame) -> DataFrame:
+    """The sources with their columns put aside, so that a charge's own names are free next to them.
+
+    A charge meets its source with its raw columns; what it offers is made of the charges
+    that were met, not of all, and does not travel.
+    """
+    return sub.select(
+        F.struct(*[F.col(f"`{c}`") for c in sub.columns]).alias("_sub"),
+        F.col("Source_No").alias("_no"),
+        F.col("Start_Date").alias("_start"),
+    )
+
+
 def recurring(sub: DataFrame, mrc: DataFrame, since: date | None, compared: DataFrame | None = None) -> DataFrame:
     """Recurring charges of the sources; `compared` are the matched records, if the payload is wanted."""
     charges = _charged(mrc.filter(positive("Amount")), "Invoice_Date", since)
-    later = [F.col("Source_No") == F.col("_source"), F.col("_dated") > F.col("Start_Date")]
-    place = [F.col("BMI_ID").alias("_source"), F.col("Invoice_Date").alias("_dated")]
+    later = [F.col("_no") == F.col("BMI_ID"), F.col("Invoice_Date") > F.col("_start")]
     if compared is None:
-        return sub.join(charges.select(*place, *_cost("MRC", "BDT_MRC_ID", False)), later).drop("_source", "_dated")
+        return _aside(sub).join(charges, later).select("_sub.*", *_cost("MRC", "BDT_MRC_ID", False))
     offered = charges.withColumns({"CPID": F.lit(None).cast("string"), "BANMasterID": F.lit(None).cast("bigint")})
-    found = sub.join(offered.select(*place, *_cost("MRC", "BDT_MRC_ID", True)), later).drop("_source")
+    found = _aside(sub).join(offered, later).select(
+        "_sub.*", F.col("Invoice_Date").alias("_dated"), *_cost("MRC", "BDT_MRC_ID", True)
+    )
     found = found.withColumn("_seed", F.col("Seed").cast("bigint"))
     matched = best_match(narrow(_charged(compared, "Invoice_Date", since), found, {"_seed": "BDT_MRC_ID", "_dated": "Invoice_Date"}))
     known = lookup(
@@ -96,11 +112,11 @@ def paper(sub: DataFrame, paper_cost: DataFrame, since: date | None, carry: bool
             for amount, cost_type in PAPER_AMOUNTS.items()
         ]
     )
-    charges = _charged(paper_cost, "Bill_Date", since).select(
-        F.col("PCI_ID").alias("_source"), F.col("Bill_Date").alias("_dated"), F.explode(F.array_compact(amounts)).alias("_a")
-    ).select("_source", "_dated", "_a.*")
-    later = [F.col("Source_No") == F.col("_source"), F.col("_dated") > F.col("Start_Date")]
-    return sub.join(charges, later).drop("_source", "_dated")
+    due = reduce(or_, [F.col(amount) > 0 for amount in PAPER_AMOUNTS])
+    charges = _charged(paper_cost.filter(due), "Bill_Date", since)
+    later = [F.col("_no") == F.col("PCI_ID"), F.col("Bill_Date") > F.col("_start")]
+    met = _aside(sub).join(charges, later)
+    return met.select("_sub", F.explode(F.array_compact(amounts)).alias("_a")).select("_sub.*", "_a.*")
 
 
 def mine_cost(sub: DataFrame, tables: Mapping[str, DataFrame], carry: bool = False) -> DataFrame:

@@ -204,5 +204,21 @@ def test_carried_charges_are_what_a_lookup_finds(spark, tables, tmp_path):  # no
     assert {r["CPID"] for r in carried.collect()} == {"CP1", None}
 
 
+def test_a_charge_makes_its_offer_after_it_met_a_source(spark, tables, tmp_path):  # noqa: F811
+    """What a charge offers is not made, nor moved, for charges that no source takes."""
+    from ledgerflow.operators.enrich import CARRIED
+    from ledgerflow.operators.mining import paper, recurring
+
+    world, since = mined_world(spark, tables, tmp_path), dt.date(2023, 10, 31)
+    sub = submitted(spark)
+    for got in (recurring(sub, world["mrc"], since, world["mrc_cmp"]), paper(sub, world["paper_cost"], since, True)):
+        lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+        at = next(i for i, x in enumerate(lines) if "Join Inner" in x)
+        below = [x for x, d in list(zip(lines, depth))[at + 1 :] if d > depth[at]]
+        assert below and any(CARRIED in x for x in lines[:at])
+        assert not any(f" AS {CARRIED}#" in x or "Record_Type" in x for x in below)
+
+
 def test_mining_nothing(spark, tables, tmp_path):  # noqa: F811
     assert mine_cost(submitted(spark).limit(0), mined_world(spark, tables, tmp_path)).count() == 0
