@@ -610,3 +610,62 @@ def test_words_and_sets_go_to_python_in_small_batches(spark, corpus, monkeypatch
     with common.small_batches(spark):
         most = spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0]
     assert most <= 512
+
+
+def test_links_of_busy_seeds_are_counted_exactly(spark, monkeypatch):
+    """In rounds and blocks, against brute force; only what fits is a row of its own."""
+    monkeypatch.setattr(passages, "BLOCK", 3)
+    monkeypatch.setattr(passages, "ROUND", 0)
+    monkeypatch.setattr(passages, "ROUND_LEAST", 40)
+    rng = random.Random(8)
+    places = {(seed, doc): 7 * seed + doc for seed in range(6) for doc in rng.sample(range(14), 9)}
+    busy = spark.createDataFrame([(seed, doc, at, 9) for (seed, doc), at in places.items()], "seed long, doc long, at int, n long")
+    links = {(a, b): {(places[s, a], places[s, b]) for s in range(6) if (s, a) in places and (s, b) in places} for a in range(14) for b in range(a + 1, 14)}
+    known = {}
+    for pair in rng.sample(sorted(links), 40):
+        known[pair] = {*rng.sample(sorted(links[pair]), min(1, len(links[pair]))), (1000, rng.randrange(3))}
+    pairs = spark.createDataFrame(
+        [(a, b, [{"x": x, "y": y} for x, y in at], 0, False, True) for (a, b), at in known.items()],
+        "a long, b long, at array<struct<x: int, y: int>>, long long, fits boolean, unjudged boolean",
+    )
+    got = {(r["a"], r["b"]): r["links"] for r in passages.counted(pairs, busy).collect()}
+    want = {p: len(links[p] | known.get(p, set())) for p in links}
+    # Beyond three, links of busy seeds alone are counted.
+    assert {p: min(n, 4) for p, n in got.items()} == {p: min(n, 4) for p, n in want.items() if n > 3 or p in known}
+
+
+def test_blocks_of_busy_seeds_find_the_same_passages(spark, monkeypatch):
+    rng = random.Random(31)
+    line, whole = prose(rng, 12), prose(rng, 70)
+    rows = [(i, f"{prose(rng, 70)} {line} {prose(rng, 70)}") for i in range(30)]
+    rows += [(100 + i, f"{prose(rng, 20 + i)} {whole} {line} {prose(rng, 40)}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(passages.passages(df).collect())
+    for name, value in (("BUSY", 2), ("BLOCK", 7), ("ROUND", 0), ("ROUND_LEAST", 100)):
+        monkeypatch.setattr(passages, name, value)
+    assert sorted(passages.passages(df).collect()) == want
+    assert {(r["doc_a"], r["doc_b"]) for r in want} == {(100 + i, 100 + j) for i in range(6) for j in range(i + 1, 6)}
+
+
+def test_one_place_is_tested_against_many_as_row_by_row():
+    s, rng = passages.Settings(), np.random.default_rng(2)
+    _, shift, length = passages._reach(s)
+    one = rng.integers(0, 256, length, dtype=np.uint8)
+    many = rng.integers(0, 256, (80, length + 2 * shift), dtype=np.uint8)
+    for i in range(80):
+        first = rng.integers(0, 60)
+        same = rng.random(60) < i / 80
+        part = many[i, first + shift : first + shift + 60]
+        part[same] = one[first : first + 60][same]
+    want = passages._fits(np.broadcast_to(one, (80, length)), many, s)
+    assert passages._fits_one(one, np.ascontiguousarray(many.T), s).tolist() == want.tolist()
+    assert 0 < want.sum() < 80
+
+
+def test_shuffle_files_of_a_step_go_with_it(spark, corpus, monkeypatch):
+    before, seen = spark.conf.get(common.CLEANUP), []
+    written = passages.stable
+    monkeypatch.setattr(passages, "stable", lambda df: (seen.append(spark.conf.get(common.CLEANUP)), written(df))[1])
+    df = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    passages.remove_passages(df, passages.passage_pairs(df)).count()
+    assert len(seen) > 5 and set(seen) == {"true"} and spark.conf.get(common.CLEANUP) == before
