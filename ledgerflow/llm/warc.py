@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import stable, work_dir
+from ledgerflow.llm.common import small_batches, stable, work_dir
 from ledgerflow.llm.ngram_join import slices
 
 REVISIT_BYTES = 100
@@ -164,7 +164,9 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
         if rows:
             yield table()
 
-    return stable(decide(pages).mapInArrow(write, INDEX))
+    # Pages may be large: a batch of the usual 10,000 would take as many times a page, in the JVM and in the worker.
+    with small_batches(pages.sparkSession, 64):
+        return stable(decide(pages).mapInArrow(write, INDEX))
 
 
 def ranges(rows: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, list[int]]]:

@@ -669,3 +669,12 @@ def test_shuffle_files_of_a_step_go_with_it(spark, corpus, monkeypatch):
     df = spark.createDataFrame(corpus, "doc_id bigint, text string")
     passages.remove_passages(df, passages.passage_pairs(df)).count()
     assert len(seen) > 5 and set(seen) == {"true"} and spark.conf.get(common.CLEANUP) == before
+
+
+def test_pages_are_packed_in_small_batches(spark, tmp_path, monkeypatch):
+    before, seen = spark.conf.get(common.ARROW_ROWS), []
+    written = warc.stable
+    monkeypatch.setattr(warc, "stable", lambda df: (seen.append(int(spark.conf.get(common.ARROW_ROWS))), written(df))[1])
+    df = spark.createDataFrame([(i, "u", "x" * 200 + str(i)) for i in range(200)], "page_id bigint, url string, html string")
+    assert warc.read_records(warc.write_archives(df, str(tmp_path / "archives"))).count() == 200
+    assert seen and max(seen) <= 64 and spark.conf.get(common.ARROW_ROWS) == before
