@@ -3,6 +3,8 @@
 import datetime as dt
 import gzip
 import random
+import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -678,3 +680,50 @@ def test_pages_are_packed_in_small_batches(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([(i, "u", "x" * 200 + str(i)) for i in range(200)], "page_id bigint, url string, html string")
     assert warc.read_records(warc.write_archives(df, str(tmp_path / "archives"))).count() == 200
     assert seen and max(seen) <= 64 and spark.conf.get(common.ARROW_ROWS) == before
+
+
+def test_pairs_between_several_parts_are_all_compared(spark, monkeypatch):
+    rng = random.Random(41)
+    line, whole = prose(rng, 14), prose(rng, 60)
+    rows = [(i, f"{prose(rng, 50)} {line} {prose(rng, 50)} {whole if i % 20 == 3 else ''} {prose(rng, 50)}") for i in range(60)]
+    rows.append((3, f"{prose(rng, 30)} {whole}"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    words = common.stable(passages.words_of(df, df.select("doc_id")))
+    pairs = spark.createDataFrame([(a, b, None) for a in range(60) for b in range(a + 1, 60)], "a long, b long, at array<struct<x: int, y: int>>")
+    monkeypatch.setattr(passages, "PART", 1 << 14)
+    got = [(r["doc_a"], r["doc_b"]) for r in passages.compared(pairs, words, passages.Settings()).collect()]
+    # Document 3 is two rows.
+    assert sorted(got) == sorted((a, b) for a, b in [(3, 23), (3, 43), (23, 43)] for _ in range(2 if a == 3 else 1))
+
+
+def test_no_pair_with_a_passage_is_passed_over():
+    """Edited passages of all lengths among words that many texts share; a line alone is told apart."""
+    s, rng = passages.Settings(), np.random.default_rng(12)
+    some = rng.integers(-(2**31), 2**31, 40)
+    loose = lambda n: np.where(rng.random(n) < 0.4, rng.choice(some, n), rng.integers(-(2**31), 2**31, n))
+    pack = lambda w: w.astype(np.int32).tobytes() + bytes(len(w))
+    kept = lines = passed = 0
+    for i in range(300):
+        whole = loose(int(rng.integers(50, 140)))
+        edited = np.concatenate([[] if e < 0.07 else [w] if e < 0.86 else loose(1) if e < 0.93 else [w, *loose(1)] for w, e in zip(whole, rng.random(len(whole)))]).astype(np.int64)
+        line = loose(14)
+        a = np.concatenate((loose(80), whole, loose(80), line, loose(80)))
+        others = [np.concatenate((loose(60), edited, loose(60))), np.concatenate((loose(200), line, loose(90)))]
+        block = passages.Block(pa.table({"doc_id": pa.array([1, 2]), "words": pa.array([pack(o) for o in others], pa.binary())}), s)
+        found = [j for j, o in enumerate(others) if passages.shared(a.astype(np.int32), o.astype(np.int32), s)]
+        reach = [j for j, _ in block.reaching(a.astype(np.int32), [(0, 0), (1, 1)])]
+        assert set(found) <= set(reach)
+        kept, lines, passed = kept + len(found), lines + (1 not in found), passed + (1 in reach and 1 not in found)
+    assert kept > 100 and passed < lines / 10
+    short = passages.Block(pa.table({"doc_id": pa.array([1, 2]), "words": pa.array([pack(loose(n)) for n in (0, 20)], pa.binary())}), s)
+    assert short.reaching(loose(60).astype(np.int32), [(0, 0), (1, 1)]) == []
+
+
+def test_steps_of_the_passages_are_deleted(spark, corpus):
+    df = common.stable(spark.createDataFrame(corpus, "doc_id bigint, text string"))
+    folder = Path(re.sub("^file:/+", "/", common.work_dir(spark)))
+    before = set(folder.iterdir())
+    found = passages.passage_pairs(df)
+    # What was there stays, and the passages come.
+    assert before and before < (after := set(folder.iterdir())) and len(after) == len(before) + 1
+    assert found.count() and df.count() == len(corpus)
